@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from suite import control_queries, seed_queries  # noqa: F401
+from suite import control_queries, incidence_queries, report_queries, seed_queries, synthesis_queries  # noqa: F401

@@ -65,7 +65,7 @@ def main() -> int:
     con = connect(sf_dir)
     bad = 0
     for name in QUERIES:
-        if arguments and not any(name.startswith(a) for a in arguments):
+        if arguments and not any(name.startswith(a) or QUERIES[name].__module_of__.endswith(a) for a in arguments):
             continue
         start = time.time()
         try:

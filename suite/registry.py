@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None):
 
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
+        run.__module_of__ = build.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql

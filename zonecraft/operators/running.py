@@ -62,7 +62,7 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, into: str) ->
     """Exact median per group from value counts, so a hot group is pre-aggregated and spread before it is ordered."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
     placed = running_total(counts, group, [value], "_n", "_before")
-    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_all"))
+    totals = placed.groupBy(*group).agg(F.sum("_n").alias("_all"))
     low = F.floor((F.col("_all") - 1) / 2)
     high = F.floor(F.col("_all") / 2)
     covers = lambda position: (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))

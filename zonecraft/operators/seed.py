@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecraft.functions import seed as fn
@@ -128,9 +128,3 @@ def empty_runs(households: DataFrame) -> DataFrame:
     return expected.join(counted, "synthesis_run", "left").select(
         "synthesis_run", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNull().alias("is_empty")
     )
-
-
-def row_number_first(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
-    """First row per key. Meant for definition tables; Spark keeps one row per key and partition before it shuffles."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
