@@ -1,3 +1,12 @@
 """Imports every module that registers queries."""
 
-from suite import control_queries, incidence_queries, report_queries, seed_queries, synthesis_queries  # noqa: F401
+from suite import (  # noqa: F401
+    control_queries,
+    incidence_queries,
+    publish_queries,
+    quality_queries,
+    report_queries,
+    seed_queries,
+    summary_queries,
+    synthesis_queries,
+)

@@ -50,6 +50,10 @@ def zones(spark, sf, year=None):
     return controls.zone_controls(*[keep(standin(spark, sf, name)) for name in FORECAST])
 
 
+def ase_rows(spark, sf):
+    return controls.population_controls(standin(spark, sf, "pop_ase_mgra"))
+
+
 @query("s01_read_forecast", f"{ctes('pop_ase_mgra')} select * from pop_ase_mgra where increment = 2022")
 def _(spark, sf):
     return tables.for_year(standin(spark, sf, "pop_ase_mgra"), 2022)

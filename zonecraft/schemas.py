@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema from ``name type, name type``; needs no running session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 SURVEY_HOUSEHOLDS = schema(
@@ -20,8 +31,8 @@ SURVEY_PERSONS = schema(
 )
 GEO_CROSS_WALK = schema("mgra int, PUMA int, region int")
 ECONOMIC_CONTROLS = schema(
-    "region int, Control string, Label string, `2022` double, `2026` double, `2029` double, `2032` double, "
-    "`2035` double, `2040` double, `2050` double, `2060` double"
+    "region int, Control string, Label string, 2022 double, 2026 double, 2029 double, 2032 double, "
+    "2035 double, 2040 double, 2050 double, 2060 double"
 )
 CONTROL_DEFINITIONS = schema(
     "target string, geography string, seed_table string, importance long, control_field string, expression string"
