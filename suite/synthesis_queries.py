@@ -20,6 +20,7 @@ from suite.standins import ctes, standin
 from zonecraft.definitions import MARGINS, RUN_ORDER
 from zonecraft.operators import expand, incidence, raking, subzones
 from zonecraft.operators.raking import Margin
+from zonecraft.session import stage
 
 SH = "synthetic_households"
 X = "geo_cross_walk"
@@ -50,8 +51,8 @@ def step_sql(before: str, after: str, zone: str, targets: str, margin: Margin, l
     product = " * ".join(f"pow(f_{t}, {t})" for t in margin.targets)
     return f"""{after}_f as (select {zone}, {factors} from (select {zone}, {sums} from {before} group by {zone}) s
       left join {targets} using ({zone})),
-    {after} as (select {before}.* exclude (w), least(w * {product}, w0 * {limit}e0) as w from {before}
-      join {after}_f using ({zone}))"""
+    {after}_g as (select {before}.* exclude (w, g), g * {product} as g from {before} join {after}_f using ({zone})),
+    {after} as (select *, w0 * least(g, {limit}e0) as w from {after}_g)"""
 
 
 def sweeps_sql(start: str, zone: str, targets: str, margins, sweeps: int, limit: float) -> tuple[str, str]:
@@ -66,7 +67,7 @@ def sweeps_sql(start: str, zone: str, targets: str, margins, sweeps: int, limit:
 
 PUMA_TARGETS = f"""tg as (select PUMA, {', '.join(f'cast(sum({OTHER_WEIGHT} * {t}) as double) as {t}' for t in SIG_TARGETS)}
   from inc_rows group by PUMA)"""
-START = "st as (select sigs.* replace (cast(w0 as double) as w0), cast(w0 as double) as w from sigs)"
+START = "st as (select sigs.* replace (cast(w0 as double) as w0), cast(w0 as double) as w, 1e0 as g from sigs)"
 RAKE = f"{ctes(H, P)}, {INCIDENCE}, {SIGS}, {PUMA_TARGETS}, {START}"
 
 
@@ -108,9 +109,10 @@ def _(spark, sf):
     from sums join tg using (PUMA)""",
 )
 def _(spark, sf):
-    targets = alternative_targets(incidence_rows(spark, sf, SIG_CONTROLS))
-    weighted = raked_pumas(spark, sf, [WORKERS, SIZE], 2)
-    return raking.zone_gap(weighted, targets, ["PUMA"], SIG_TARGETS).withColumn("gap", F.round("gap", 6))
+    rows = incidence_rows(spark, sf, SIG_CONTROLS)
+    packed = stage(raking.pack(incidence.signatures(rows, ["PUMA"], SIG_TARGETS), SIG_TARGETS, ["PUMA"]))
+    state = raking.rake_state(packed, alternative_targets(rows), ["PUMA"], SIG_TARGETS, [WORKERS, SIZE], 2, None)
+    return raking.zone_gap(packed, state, ["PUMA"], SIG_TARGETS).withColumn("gap", F.round("gap", 6))
 
 
 # --- regional controls -------------------------------------------------------------------------------------------
@@ -165,7 +167,7 @@ _final_steps, _final_last = sweeps_sql("fst", "PUMA", "ftg", FINAL_MARGINS, 1, 3
     ftg as (select * from tg join (select PUMA, {', '.join(
         f"max(case when target = '{t}' then control_value end) as {t}" for t in META)} from shared group by PUMA) m
         using (PUMA)),
-    fst as (select PUMA, {', '.join(FINAL_TARGETS)}, cast(sum(WGTP) as double) as w0, cast(sum(WGTP) as double) as w,
+    fst as (select PUMA, {', '.join(FINAL_TARGETS)}, cast(sum(WGTP) as double) as w0, cast(sum(WGTP) as double) as w, 1e0 as g,
       min(hhid) as sig from inc_rows group by PUMA, {', '.join(FINAL_TARGETS)}),
     {_final_steps} select PUMA, sig, round(w, 4) as w from {_final_last}""",
 )
@@ -223,7 +225,7 @@ POOLS_SQL = f"""pools as (select PUMA, case when count(*) >= {MIN_SAMPLES} then
     from pooled group by pool, cell)"""
 ZONE_SQL = f"""zt as (select mgra, PUMA, {', '.join(f'cast(sum({OTHER_WEIGHT} * {t}) as double) as {t}' for t in HH_TARGETS)}
   from hi group by mgra, PUMA), ztg as (select * exclude (PUMA) from zt),
-  zst as (select mgra, pool, cell, w0, w0 as w, {', '.join(f'c.{t}' for t in HH_TARGETS)}
+  zst as (select mgra, pool, cell, w0, w0 as w, 1e0 as g, {', '.join(f'c.{t}' for t in HH_TARGETS)}
     from zt join pools using (PUMA) join cells c using (pool))"""
 _zone_steps, _zone_last = sweeps_sql("zst", "mgra", "ztg", [Margin(tuple(MARGINS[m])) for m in ZONE_MARGINS], 2, 1e9)
 ZONE_RAKE = f"{ctes(H, P)}, {SEED_HH}, {HH_INC}, {POOLS_SQL}, {ZONE_SQL}, {_zone_steps}"
@@ -239,14 +241,14 @@ def zone_setup(spark, sf):
     homes = standin(spark, sf, H).select(F.col("SERIALNO").alias("hhid"), "mgra")
     seeds = incidence.incidence(households, None, HH_CONTROLS, keep=("PUMA", "WGTP")).join(homes, "hhid")
     controls = seeds.groupBy("mgra").agg(*[F.sum(F.expr(OTHER_WEIGHT) * F.col(t)).alias(t) for t in HH_TARGETS])
-    pools = subzones.pool_of_puma(seeds, MIN_SAMPLES)
-    return seeds, controls, pools
+    placed = subzones.place_zones(controls, standin(spark, sf, X), subzones.pool_of_puma(seeds, MIN_SAMPLES))
+    return seeds, controls, placed
 
 
 def raked_zones(spark, sf, sweeps=2, tolerance=None):
-    seeds, controls, pools = zone_setup(spark, sf)
-    cells = subzones.pool_cells(subzones.seed_pools(seeds, pools), "WGTP")
-    return subzones.rake_zones(controls, standin(spark, sf, X), pools, cells, ZONE_MARGINS, sweeps, tolerance)
+    seeds, _, placed = zone_setup(spark, sf)
+    cells = subzones.pool_cells(subzones.seed_pools(seeds, placed), "WGTP")
+    return subzones.rake_zones(placed, cells, ZONE_MARGINS, sweeps, tolerance)
 
 
 @query(
@@ -254,8 +256,8 @@ def raked_zones(spark, sf, sweeps=2, tolerance=None):
     f"{ctes(H, P)}, {SEED_HH}, {HH_INC}, {POOLS_SQL} select pool, cell, w0 from cells",
 )
 def _(spark, sf):
-    seeds, _, pools = zone_setup(spark, sf)
-    return subzones.pool_cells(subzones.seed_pools(seeds, pools), "WGTP")
+    seeds, _, placed = zone_setup(spark, sf)
+    return subzones.pool_cells(subzones.seed_pools(seeds, placed), "WGTP")
 
 
 @query("y09_sub_balance", f"{ZONE_RAKE} select mgra, pool, cell, round(w, 4) as w from {_zone_last} where w > 0")
@@ -293,10 +295,10 @@ def fill_sql(slots: str, members: str, group: str) -> str:
     from opened join taken using (pool, cell, unit) group by mgra, hhid""",
 )
 def _(spark, sf):
-    seeds, controls, pools = zone_setup(spark, sf)
+    seeds, controls, placed = zone_setup(spark, sf)
     whole = subzones.integer_cells(subzones.cell_weights(raked_zones(spark, sf)), controls)
     slots = whole.select("mgra", "pool", "cell", F.col("integer_weight").alias("n"))
-    members = subzones.seed_pools(seeds, pools).select("pool", subzones.cell_id().alias("cell"), "hhid", F.col("WGTP").alias("w"))
+    members = subzones.seed_pools(seeds, placed).select("pool", subzones.cell_id().alias("cell"), "hhid", F.col("WGTP").alias("w"))
     return expand.zone_weights(expand.fill_zones(slots, members, ["pool", "cell"], order="hhid"))
 
 

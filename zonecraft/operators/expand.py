@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecraft.definitions import HOUSEHOLD_COLUMNS, PERSON_COLUMNS, RUN_ORDER
@@ -27,9 +27,11 @@ def expand(rows: DataFrame, weight: str, into: str = "replica", chunk: int = CHU
     return spread.select(*columns, F.explode(F.sequence(first, last)).alias(into))
 
 
-def replica_starts(weights: DataFrame, order: Sequence[str], weight: str = "integer_weight") -> DataFrame:
-    """Add ``start``: how many replicas come before this row's in the given order."""
-    return running_total(weights, [], list(order), weight, "start")
+def replica_starts(
+    weights: DataFrame, order: Sequence[str], weight: str = "integer_weight", group: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``start``: how many replicas come before this row's in the given order, per group."""
+    return running_total(weights, list(group), list(order), weight, "start")
 
 
 def replica_ids(expanded: DataFrame) -> DataFrame:
@@ -41,11 +43,14 @@ def expand_households(weights: DataFrame, order: Sequence[str] = ("mgra", "hhid"
     return replica_ids(expand(replica_starts(weights, order), "integer_weight"))
 
 
+def expand_records(starts: DataFrame, records: DataFrame, key: Sequence[str] = ("hhid",)) -> DataFrame:
+    """All records (household attributes or persons) of every replica. Records are joined to the weights first, so a
+    popular household is joined once per zone, not once per replica; its replicas are unfolded by many tasks."""
+    return replica_ids(expand(starts.join(records, list(key)), "integer_weight"))
+
+
 def expand_persons(weights: DataFrame, persons: DataFrame, order: Sequence[str] = ("mgra", "hhid")) -> DataFrame:
-    """All persons of every replica. Persons are joined to the weights first, so a popular household is joined once
-    per zone, not once per replica, and its replicas are unfolded afterwards by many tasks."""
-    placed = replica_starts(weights, order).join(persons, "hhid")
-    return replica_ids(expand(placed, "integer_weight"))
+    return expand_records(replica_starts(weights, order), persons)
 
 
 def fill_zones(
@@ -77,18 +82,23 @@ def zone_weights(filled: DataFrame, zone: str = "mgra", keep: Sequence[str] = ()
 # --- merging runs ------------------------------------------------------------------------------------------------
 
 
-def run_offsets(households: DataFrame, order: Sequence[str] = RUN_ORDER) -> DataFrame:
-    """Households of all runs before this one, in the configured order. One row per run type."""
+def run_offsets(
+    rows: DataFrame, size: Column | None = None, order: Sequence[str] = RUN_ORDER, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Households of all runs before this one, in the configured order. One row per run type (and year).
+
+    ``size`` counts the households of a run where a row is not one household.
+    """
     rank = F.array_position(F.array(*[F.lit(r) for r in order]), F.col("synthesis_run"))
-    counts = households.groupBy("synthesis_run").agg(F.count("*").alias("n"))
-    before = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("synthesis_run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    counts = rows.groupBy(*keep, "synthesis_run").agg((F.count("*") if size is None else size).alias("n"))
+    before = Window.partitionBy(*keep).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*keep, "synthesis_run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
 
-def offset_ids(rows: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Shift each run's ids behind those of the runs before it. ``offsets`` has at most one row per run type."""
+def offset_ids(rows: DataFrame, offsets: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Shift each run's ids behind those of the runs before it. ``offsets`` has one row per run type (and year)."""
     return (
-        rows.join(F.broadcast(offsets), "synthesis_run")
+        rows.join(F.broadcast(offsets), [*keep, "synthesis_run"])
         .withColumn("household_id", F.col("household_id") + F.col("offset"))
         .drop("offset")
     )

@@ -1,8 +1,9 @@
 """Raking of record weights to control totals, per zone, as Spark jobs.
 
-``rake`` works on any number of rows per zone: a step sums the weights per zone (combined before the shuffle), turns the
-sums into one row of factors per zone, and joins those back. Rows of identical incidence always get the same factor, so
-callers merge them first (``incidence.signatures``) and split the result afterwards without changing it.
+The state of a raking is not the weights but one row per zone: the logarithm of a factor for every control. A record's
+weight follows from it, ``w0 * exp(sum of its contributions times the log factors)``, so records are written once and
+only read afterwards. A step sums weights per zone (combined before the shuffle, so a zone of any size is fine) and
+adjusts the factors of one margin. Records of equal incidence have equal factors and may be merged first.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from zonecraft.session import stage
 
 MAX_EXPANSION = 30.0
 FACTOR_RANGE = (0.1, 10.0)
+# Log factor that stands for zero: its exponential is 0.
+NOTHING = -1e9
 
 
 @dataclass(frozen=True)
@@ -30,10 +33,6 @@ class Margin:
     counts: bool = False
 
 
-def cap_expansion(weight: Column, initial: Column, limit: float = MAX_EXPANSION) -> Column:
-    return F.least(weight, initial * limit)
-
-
 def ratio_factor(target: Column, current: Column) -> Column:
     """Factor that makes a sum of exclusive records hit its target; 1 where nothing can be scaled."""
     return F.when(target.isNull() | (current == 0), 1.0).otherwise(target / current)
@@ -46,84 +45,175 @@ def newton_factor(target: Column, current: Column, squares: Column) -> Column:
     return F.when(target.isNull() | (squares == 0), 1.0).when(target == 0, 0.0).otherwise(step)
 
 
-def margin_step(rows: DataFrame, targets: DataFrame, zone: Sequence[str], margin: Margin, limit: float) -> DataFrame:
-    """Adjust ``w`` to one margin in every zone."""
-    names = margin.targets
-    w = F.col("w")
-    sums = [F.sum(w * F.col(t)).alias(f"_x_{t}") for t in names]
-    if margin.counts:
-        sums += [F.sum(w * F.col(t) * F.col(t)).alias(f"_y_{t}") for t in names]
-    wanted = targets.select(*zone, *[F.col(t).cast("double").alias(f"_t_{t}") for t in names])
-    factor = lambda t: (
-        newton_factor(F.col(f"_t_{t}"), F.col(f"_x_{t}"), F.col(f"_y_{t}"))
-        if margin.counts
-        else ratio_factor(F.col(f"_t_{t}"), F.col(f"_x_{t}"))
+def relative_gap(target: Column, current: Column) -> Column:
+    """Relative difference from the target, absolute where the target is 0; 0 without a target."""
+    scale = F.when(target != 0, F.abs(target)).otherwise(1.0)
+    return F.coalesce(F.abs(current - target) / scale, F.lit(0.0))
+
+
+def cap_expansion(factor: Column, limit: float = MAX_EXPANSION) -> Column:
+    """A record's weight may grow to at most ``limit`` times its initial weight."""
+    return F.least(factor, F.lit(float(limit)))
+
+
+def _dot(size: int) -> Column:
+    return reduce(lambda a, b: a + b, [F.col("n")[k] * F.col("logs")[k] for k in range(size)])
+
+
+def weight_of(size: int, limit: float) -> Column:
+    return F.col("w0") * cap_expansion(F.exp(_dot(size)), limit)
+
+
+def pack(rows: DataFrame, targets: Sequence[str], keep: Sequence[str], weight: str = "w0") -> DataFrame:
+    """Records with their contributions in one array, in the order of ``targets``."""
+    n = F.array(*[F.col(t).cast("double") for t in targets])
+    return rows.select(*keep, F.col(weight).cast("double").alias("w0"), n.alias("n"))
+
+
+def no_adjustment(targets: DataFrame, zone: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Starting state: every control of every zone has factor 1."""
+    wanted = F.array(*[F.col(t).cast("double") if t in targets.columns else F.lit(None).cast("double") for t in names])
+    logs = F.array_repeat(F.lit(0.0), len(names))
+    return targets.select(
+        *zone,
+        wanted.alias("t"),
+        logs.alias("logs"),
+        F.lit(0.0).alias("gap"),
+        F.lit(True).alias("open"),
+        F.lit(0).alias("sweeps"),
     )
-    factors = rows.groupBy(*zone).agg(*sums).join(wanted, list(zone), "left")
-    factors = factors.select(*zone, *[factor(t).alias(f"_f_{t}") for t in names])
-    product = reduce(lambda a, b: a * b, [F.pow(F.col(f"_f_{t}"), F.col(t)) for t in names])
-    adjusted = rows.join(factors, list(zone)).withColumn("w", cap_expansion(w * product, F.col("w0"), limit))
-    return adjusted.select(*rows.columns)
 
 
-def sweep(rows: DataFrame, targets: DataFrame, zone: Sequence[str], margins: Sequence[Margin], limit: float) -> DataFrame:
-    return reduce(lambda current, m: margin_step(current, targets, zone, m, limit), margins, rows)
+def weighted(
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], limit: float = MAX_EXPANSION
+) -> DataFrame:
+    """Records with their weight ``w``. A record of a zone without targets keeps its initial weight.
+
+    Records may hold only some of the zone's keys (not the year, say); they are then weighted for each of its values.
+    """
+    on = [k for k in zone if k in packed.columns]
+    joined = packed.join(state.select(*zone, "logs"), on, "left")
+    return joined.withColumn("w", F.coalesce(weight_of(len(names), limit), F.col("w0"))).drop("logs")
 
 
-def zone_gap(
-    rows: DataFrame, targets: DataFrame, zone: Sequence[str], names: Sequence[str], weight: str = "w"
+def margin_step(
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], margin: Margin, limit: float
 ) -> DataFrame:
-    """Largest relative difference between weighted count and target per zone (absolute where the target is 0)."""
-    sums = rows.groupBy(*zone).agg(*[F.sum(F.col(weight) * F.col(t)).alias(f"_x_{t}") for t in names])
-    wanted = targets.select(*zone, *[F.col(t).cast("double").alias(f"_t_{t}") for t in names])
-    gap = lambda t: F.coalesce(
-        F.abs(F.col(f"_x_{t}") - F.col(f"_t_{t}")) / F.when(F.col(f"_t_{t}") != 0, F.col(f"_t_{t}")).otherwise(1.0),
-        F.lit(0.0),
+    """Adjust the factors of one margin in every open zone."""
+    on = [k for k in zone if k in packed.columns]
+    at = [names.index(t) for t in margin.targets]
+    w = weight_of(len(names), limit)
+    x = lambda k: F.sum(F.col("w") * F.col("n")[k])
+    y = lambda k: F.sum(F.col("w") * F.col("n")[k] * F.col("n")[k])
+    current = packed.join(state.where("open").select(*zone, "logs"), on).withColumn("w", w)
+    sums = current.groupBy(*zone).agg(
+        F.array(*[x(k) for k in at]).alias("_x"),
+        *([F.array(*[y(k) for k in at]).alias("_y")] if margin.counts else []),
     )
-    gaps = F.array(*[gap(t) for t in names])
-    return sums.join(wanted, list(zone)).select(*zone, F.array_max(gaps).alias("gap"))
-
 
-def convergence(gaps: DataFrame, tolerance: float) -> DataFrame:
-    """One row: zones, zones not converged, and the largest gap."""
-    return gaps.agg(
-        F.count("*").alias("zones"),
-        F.count_if(F.col("gap") >= tolerance).alias("open"),
-        F.max("gap").alias("worst"),
+    def log_factor(position: int, k: int) -> Column:
+        target, total = F.col("t")[k], F.col("_x")[position]
+        f = newton_factor(target, total, F.col("_y")[position]) if margin.counts else ratio_factor(target, total)
+        return F.when(f > 0, F.log(f)).otherwise(NOTHING)
+
+    moved = {k: F.col("logs")[k] + log_factor(position, k) for position, k in enumerate(at)}
+    logs = F.array(*[moved.get(k, F.col("logs")[k]) for k in range(len(names))])
+    gaps = [relative_gap(F.col("t")[k], F.col("_x")[position]) for position, k in enumerate(at)]
+    touched = F.col("_x").isNotNull()
+    return state.join(sums, list(zone), "left").select(
+        *zone,
+        "t",
+        F.when(touched, logs).otherwise(F.col("logs")).alias("logs"),
+        F.when(touched, F.greatest(F.col("gap"), *gaps)).otherwise(F.col("gap")).alias("gap"),
+        "open",
+        "sweeps",
     )
 
 
-def rake(
-    rows: DataFrame,
+def sweep(
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], margins: Sequence[Margin], limit: float
+) -> DataFrame:
+    """One adjustment of every margin in turn. ``gap`` becomes the largest miss any of them found."""
+    fresh = state.withColumn("gap", F.when(F.col("open"), 0.0).otherwise(F.col("gap")))
+    done = reduce(lambda current, m: margin_step(packed, current, zone, names, m, limit), margins, fresh)
+    return done.withColumn("sweeps", F.col("sweeps") + F.col("open").cast("int"))
+
+
+def rake_state(
+    packed: DataFrame,
     targets: DataFrame,
     zone: Sequence[str],
+    names: Sequence[str],
     margins: Sequence[Margin],
     sweeps: int = 500,
     tolerance: float | None = 1e-4,
     limit: float = MAX_EXPANSION,
 ) -> DataFrame:
-    """Weights ``w`` such that every control of every zone meets its target, starting from ``w0``.
+    """Factors such that every control of every zone meets its target.
 
-    Each sweep is written once, which cuts lineage. Zones that have converged are set aside once they are the majority,
-    so late sweeps touch only the zones still open. Without a tolerance exactly ``sweeps`` sweeps are made.
+    A zone is closed once no margin misses by the tolerance, and its records are not read again. Without a tolerance
+    exactly ``sweeps`` sweeps are made. The state of every sweep is written, which cuts lineage.
     """
-    zone = list(zone)
-    names = list(dict.fromkeys(t for m in margins for t in m.targets))
-    parked: list[DataFrame] = []
-    active = rows.withColumn("w0", F.col("w0").cast("double")).withColumn("w", F.col("w0"))
+    zone, names = list(zone), list(names)
+    state = stage(no_adjustment(targets, zone, names), "state")
     for _ in range(sweeps):
-        active = stage(sweep(active, targets, zone, margins, limit), "sweep")
+        state = sweep(packed, state, zone, names, margins, limit)
         if tolerance is None:
+            state = stage(state, "state")
             continue
-        gaps = stage(zone_gap(active, targets, zone, names), "gaps")
-        state = convergence(gaps, tolerance).first()
-        if state["open"] == 0:
+        state = stage(state.withColumn("open", F.col("open") & (F.col("gap") >= tolerance)), "state")
+        if state.agg(F.count_if("open").alias("open")).first()["open"] == 0:
             break
-        if state["open"] * 2 < state["zones"]:
-            unfinished = gaps.where(F.col("gap") >= tolerance).select(*zone)
-            parked.append(active.join(unfinished, zone, "left_anti"))
-            active = stage(active.join(unfinished, zone, "left_semi"), "open")
-    return reduce(lambda a, b: a.unionByName(b), parked, active)
+    return state
+
+
+def rake(
+    rows: DataFrame,
+    targets: DataFrame,
+    zone: Sequence[str],
+    margins: Sequence[Margin],
+    sweeps: int = 500,
+    tolerance: float | None = 1e-4,
+    limit: float = MAX_EXPANSION,
+    record: str = "sig",
+) -> DataFrame:
+    """Raked weight ``w`` per zone and record, starting from ``w0``."""
+    names = list(dict.fromkeys(t for m in margins for t in m.targets))
+    packed = stage(pack(rows, names, [*zone, record]), "records")
+    state = rake_state(packed, targets, zone, names, margins, sweeps, tolerance, limit)
+    return weighted(packed, state, zone, names, limit).drop("n")
+
+
+def weighted_totals(
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], chosen: Sequence[str],
+    limit: float = MAX_EXPANSION,
+) -> DataFrame:
+    """Weighted total of the chosen controls per zone, long."""
+    rows = weighted(packed, state, zone, names, limit)
+    sums = [F.sum(F.col("w") * F.col("n")[names.index(t)]).alias(t) for t in chosen]
+    return rows.groupBy(*zone).agg(*sums).unpivot(list(zone), list(chosen), "target", "total")
+
+
+def zone_gap(
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], limit: float = MAX_EXPANSION
+) -> DataFrame:
+    """Largest relative miss of any control per zone, measured after the raking."""
+    rows = weighted(packed, state, zone, names, limit)
+    sums = rows.groupBy(*zone).agg(
+        F.array(*[F.sum(F.col("w") * F.col("n")[k]) for k in range(len(names))]).alias("_x")
+    )
+    gaps = [relative_gap(F.col("t")[k], F.col("_x")[k]) for k in range(len(names))]
+    return sums.join(state.select(*zone, "t"), list(zone)).select(*zone, F.array_max(F.array(*gaps)).alias("gap"))
+
+
+def convergence(state: DataFrame) -> DataFrame:
+    """One row: zones, zones still open, the largest gap and the most sweeps."""
+    return state.agg(
+        F.count("*").alias("zones"),
+        F.count_if("open").alias("open"),
+        F.max("gap").alias("worst"),
+        F.max("sweeps").alias("sweeps"),
+    )
 
 
 def factor_meta(region_targets: DataFrame, weighted: DataFrame, region: Sequence[str], area: str) -> DataFrame:
