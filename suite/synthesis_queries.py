@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from suite.control_queries import FORECAST, ZONES
 from suite.incidence_queries import (
     FITTING,
     HH_CONTROLS,
@@ -17,9 +18,10 @@ from suite.incidence_queries import (
 from suite.registry import query
 from suite.seed_queries import SEED_HH, H, P, seed_hh
 from suite.standins import ctes, standin
-from zonecraft.definitions import MARGINS, RUN_ORDER
+from zonecraft.definitions import GQ_RUNS, MARGINS, RUN_ORDER
 from zonecraft.operators import expand, incidence, raking, subzones
 from zonecraft.operators.raking import Margin
+from zonecraft.plans import synthesis
 from zonecraft.session import stage
 
 SH = "synthetic_households"
@@ -435,3 +437,23 @@ def _(spark, sf):
     columns = ["household_id", "SPORDER", "NAICSP", "SOCP", *FILLED]
     rows = standin(spark, sf, P).select(F.lit(1).alias("PUMA"), *columns)
     return expand.merged_persons(rows)
+
+
+# --- the whole chain ---------------------------------------------------------------------------------------------
+
+
+@query(
+    "y16_synthesis_chain",
+    f"""{ctes(*FORECAST)}, {ZONES}, gq as ({' union all '.join(
+        f"select increment, '{run}' as synthesis_run, mgra, {pop} as households from zones" for run, _, pop, _, _ in GQ_RUNS)})
+    select * from gq where households > 0 and increment = 2022 union all
+    select increment, 'household', mgra, Total_HH from zones where Total_HH > 0 and increment = 2022""",
+)
+def _(spark, sf):
+    """Seeds to finished population in few sweeps; every zone must hold exactly its households of every run."""
+    seeds = synthesis.build_seeds(standin(spark, sf, H), standin(spark, sf, P))
+    inputs = [standin(spark, sf, name) for name in (*FORECAST, "economic_controls")]
+    controls = synthesis.build_controls(*inputs, [2022])
+    settings = synthesis.Settings(sweeps=1, zone_sweeps=20)
+    result = synthesis.synthesize(seeds, controls, standin(spark, sf, X), settings)
+    return result.households.groupBy("increment", "synthesis_run", "mgra").agg(F.count("*").alias("households"))

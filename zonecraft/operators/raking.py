@@ -33,35 +33,36 @@ class Margin:
     counts: bool = False
 
 
-def ratio_factor(target: Column, current: Column) -> Column:
+# The formulas below are SQL text: a step needs dozens of them, and one parsed expression is built far faster than
+# hundreds of Column calls.
+
+
+def ratio_factor(target: str, current: str) -> str:
     """Factor that makes a sum of exclusive records hit its target; 1 where nothing can be scaled."""
-    return F.when(target.isNull() | (current == 0), 1.0).otherwise(target / current)
+    return f"case when {target} is null or {current} = 0 then 1d else {target} / {current} end"
 
 
-def newton_factor(target: Column, current: Column, squares: Column) -> Column:
+def newton_factor(target: str, current: str, squares: str) -> str:
     """Factor per contribution for records that contribute several times; equals the ratio for 0/1 contributions."""
     low, high = FACTOR_RANGE
-    step = F.greatest(F.least(1 + (target - current) / squares, F.lit(high)), F.lit(low))
-    return F.when(target.isNull() | (squares == 0), 1.0).when(target == 0, 0.0).otherwise(step)
+    step = f"greatest(least(1 + ({target} - {current}) / {squares}, {high}d), {low}d)"
+    return f"case when {target} is null or {squares} = 0 then 1d when {target} = 0 then 0d else {step} end"
 
 
-def relative_gap(target: Column, current: Column) -> Column:
+def relative_gap(target: str, current: str) -> str:
     """Relative difference from the target, absolute where the target is 0; 0 without a target."""
-    scale = F.when(target != 0, F.abs(target)).otherwise(1.0)
-    return F.coalesce(F.abs(current - target) / scale, F.lit(0.0))
+    return f"coalesce(abs({current} - {target}) / case when {target} <> 0 then abs({target}) else 1d end, 0d)"
 
 
-def cap_expansion(factor: Column, limit: float = MAX_EXPANSION) -> Column:
+def cap_expansion(factor: str, limit: float = MAX_EXPANSION) -> str:
     """A record's weight may grow to at most ``limit`` times its initial weight."""
-    return F.least(factor, F.lit(float(limit)))
-
-
-def _dot(size: int) -> Column:
-    return reduce(lambda a, b: a + b, [F.col("n")[k] * F.col("logs")[k] for k in range(size)])
+    return f"least({factor}, {float(limit)}d)"
 
 
 def weight_of(size: int, limit: float) -> Column:
-    return F.col("w0") * cap_expansion(F.exp(_dot(size)), limit)
+    """Weight from the initial weight ``w0``, the contributions ``n`` and the zone's ``logs``."""
+    exponent = " + ".join(f"n[{k}] * logs[{k}]" for k in range(size))
+    return F.expr(f"w0 * {cap_expansion(f'exp({exponent})', limit)}")
 
 
 def pack(rows: DataFrame, targets: Sequence[str], keep: Sequence[str], weight: str = "w0") -> DataFrame:
@@ -103,28 +104,27 @@ def margin_step(
     on = [k for k in zone if k in packed.columns]
     at = [names.index(t) for t in margin.targets]
     w = weight_of(len(names), limit)
-    x = lambda k: F.sum(F.col("w") * F.col("n")[k])
-    y = lambda k: F.sum(F.col("w") * F.col("n")[k] * F.col("n")[k])
     current = packed.join(state.where("open").select(*zone, "logs"), on).withColumn("w", w)
+    x = ", ".join(f"sum(w * n[{k}])" for k in at)
+    y = ", ".join(f"sum(w * n[{k}] * n[{k}])" for k in at)
     sums = current.groupBy(*zone).agg(
-        F.array(*[x(k) for k in at]).alias("_x"),
-        *([F.array(*[y(k) for k in at]).alias("_y")] if margin.counts else []),
+        F.expr(f"array({x})").alias("_x"), *([F.expr(f"array({y})").alias("_y")] if margin.counts else [])
     )
 
-    def log_factor(position: int, k: int) -> Column:
-        target, total = F.col("t")[k], F.col("_x")[position]
-        f = newton_factor(target, total, F.col("_y")[position]) if margin.counts else ratio_factor(target, total)
-        return F.when(f > 0, F.log(f)).otherwise(NOTHING)
+    def moved(position: int, k: int) -> str:
+        target, total = f"t[{k}]", f"_x[{position}]"
+        f = newton_factor(target, total, f"_y[{position}]") if margin.counts else ratio_factor(target, total)
+        # The logarithm of a factor of 0 is NULL.
+        return f"logs[{k}] + coalesce(ln({f}), {NOTHING}d)"
 
-    moved = {k: F.col("logs")[k] + log_factor(position, k) for position, k in enumerate(at)}
-    logs = F.array(*[moved.get(k, F.col("logs")[k]) for k in range(len(names))])
-    gaps = [relative_gap(F.col("t")[k], F.col("_x")[position]) for position, k in enumerate(at)]
-    touched = F.col("_x").isNotNull()
-    return state.join(sums, list(zone), "left").select(
+    changed = {k: moved(position, k) for position, k in enumerate(at)}
+    logs = ", ".join(changed.get(k, f"logs[{k}]") for k in range(len(names)))
+    gaps = ", ".join(relative_gap(f"t[{k}]", f"_x[{position}]") for position, k in enumerate(at))
+    return state.join(sums, list(zone), "left").selectExpr(
         *zone,
         "t",
-        F.when(touched, logs).otherwise(F.col("logs")).alias("logs"),
-        F.when(touched, F.greatest(F.col("gap"), *gaps)).otherwise(F.col("gap")).alias("gap"),
+        f"if(_x is null, logs, array({logs})) as logs",
+        f"if(_x is null, gap, greatest(gap, {gaps})) as gap",
         "open",
         "sweeps",
     )
@@ -133,10 +133,14 @@ def margin_step(
 def sweep(
     packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], margins: Sequence[Margin], limit: float
 ) -> DataFrame:
-    """One adjustment of every margin in turn. ``gap`` becomes the largest miss any of them found."""
-    fresh = state.withColumn("gap", F.when(F.col("open"), 0.0).otherwise(F.col("gap")))
-    done = reduce(lambda current, m: margin_step(packed, current, zone, names, m, limit), margins, fresh)
-    return done.withColumn("sweeps", F.col("sweeps") + F.col("open").cast("int"))
+    """One adjustment of every margin in turn. ``gap`` becomes the largest miss any of them found.
+
+    A step reads the state twice, so it is written after every step: unwritten, the plan would double with each margin.
+    """
+    state = state.withColumn("gap", F.when(F.col("open"), 0.0).otherwise(F.col("gap")))
+    for margin in margins:
+        state = stage(margin_step(packed, state, zone, names, margin, limit), "state")
+    return state.withColumn("sweeps", F.col("sweeps") + F.col("open").cast("int"))
 
 
 def rake_state(
@@ -152,16 +156,15 @@ def rake_state(
     """Factors such that every control of every zone meets its target.
 
     A zone is closed once no margin misses by the tolerance, and its records are not read again. Without a tolerance
-    exactly ``sweeps`` sweeps are made. The state of every sweep is written, which cuts lineage.
+    exactly ``sweeps`` sweeps are made.
     """
     zone, names = list(zone), list(names)
     state = stage(no_adjustment(targets, zone, names), "state")
     for _ in range(sweeps):
         state = sweep(packed, state, zone, names, margins, limit)
         if tolerance is None:
-            state = stage(state, "state")
             continue
-        state = stage(state.withColumn("open", F.col("open") & (F.col("gap") >= tolerance)), "state")
+        state = state.withColumn("open", F.col("open") & (F.col("gap") >= tolerance))
         if state.agg(F.count_if("open").alias("open")).first()["open"] == 0:
             break
     return state
@@ -190,7 +193,7 @@ def weighted_totals(
 ) -> DataFrame:
     """Weighted total of the chosen controls per zone, long."""
     rows = weighted(packed, state, zone, names, limit)
-    sums = [F.sum(F.col("w") * F.col("n")[names.index(t)]).alias(t) for t in chosen]
+    sums = [F.expr(f"sum(w * n[{names.index(t)}])").alias(t) for t in chosen]
     return rows.groupBy(*zone).agg(*sums).unpivot(list(zone), list(chosen), "target", "total")
 
 
@@ -200,10 +203,10 @@ def zone_gap(
     """Largest relative miss of any control per zone, measured after the raking."""
     rows = weighted(packed, state, zone, names, limit)
     sums = rows.groupBy(*zone).agg(
-        F.array(*[F.sum(F.col("w") * F.col("n")[k]) for k in range(len(names))]).alias("_x")
+        F.expr(f"array({', '.join(f'sum(w * n[{k}])' for k in range(len(names)))})").alias("_x")
     )
-    gaps = [relative_gap(F.col("t")[k], F.col("_x")[k]) for k in range(len(names))]
-    return sums.join(state.select(*zone, "t"), list(zone)).select(*zone, F.array_max(F.array(*gaps)).alias("gap"))
+    gaps = ", ".join(relative_gap(f"t[{k}]", f"_x[{k}]") for k in range(len(names)))
+    return sums.join(state.select(*zone, "t"), list(zone)).selectExpr(*zone, f"array_max(array({gaps})) as gap")
 
 
 def convergence(state: DataFrame) -> DataFrame:
