@@ -82,7 +82,7 @@ def alternative_targets(rows):
 
 
 def raked_pumas(spark, sf, margins, sweeps, limit=raking.MAX_EXPANSION):
-    rows = incidence_rows(spark, sf, SIG_CONTROLS)
+    rows = stage(incidence_rows(spark, sf, SIG_CONTROLS))
     merged = incidence.signatures(rows, ["PUMA"], SIG_TARGETS)
     return raking.rake(merged, alternative_targets(rows), ["PUMA"], margins, sweeps, None, limit)
 
@@ -111,7 +111,7 @@ def _(spark, sf):
     from sums join tg using (PUMA)""",
 )
 def _(spark, sf):
-    rows = incidence_rows(spark, sf, SIG_CONTROLS)
+    rows = stage(incidence_rows(spark, sf, SIG_CONTROLS))
     packed = stage(raking.pack(incidence.signatures(rows, ["PUMA"], SIG_TARGETS), SIG_TARGETS, ["PUMA"]))
     state = raking.rake_state(packed, alternative_targets(rows), ["PUMA"], SIG_TARGETS, [WORKERS, SIZE], 2, None)
     return raking.zone_gap(packed, state, ["PUMA"], SIG_TARGETS).withColumn("gap", F.round("gap", 6))
@@ -135,7 +135,7 @@ META_SQL = f"""placed as (select i.*, 1 + (PUMA - 7301) % 3 as region from inc_r
 
 def meta_rows(spark, sf):
     rows = incidence_rows(spark, sf, SIG_CONTROLS + META_CONTROLS)
-    return rows.withColumn("region", 1 + (F.col("PUMA") - 7301) % 3)
+    return stage(rows.withColumn("region", 1 + (F.col("PUMA") - 7301) % 3))
 
 
 def _long_sum(rows, keys, weight, name):
@@ -241,16 +241,17 @@ ZONE_INT = f"""zi as (select mgra, pool, cell, round(w, 6) as w, floor(round(w,
 def zone_setup(spark, sf):
     households = seed_hh(spark, sf).where("gq_type = 0").withColumnRenamed("SERIALNO", "hhid")
     homes = standin(spark, sf, H).select(F.col("SERIALNO").alias("hhid"), "mgra")
-    seeds = incidence.incidence(households, None, HH_CONTROLS, keep=("PUMA", "WGTP")).join(homes, "hhid")
+    seeds = stage(incidence.incidence(households, None, HH_CONTROLS, keep=("PUMA", "WGTP")).join(homes, "hhid"))
     controls = seeds.groupBy("mgra").agg(*[F.sum(F.expr(OTHER_WEIGHT) * F.col(t)).alias(t) for t in HH_TARGETS])
     placed = subzones.place_zones(controls, standin(spark, sf, X), subzones.pool_of_puma(seeds, MIN_SAMPLES))
     return seeds, controls, placed
 
 
 def raked_zones(spark, sf, sweeps=2, tolerance=None):
+    """Seeds, zone controls with their pool, and the raked zones."""
     seeds, _, placed = zone_setup(spark, sf)
     cells = subzones.pool_cells(subzones.seed_pools(seeds, placed), "WGTP")
-    return subzones.rake_zones(placed, cells, ZONE_MARGINS, sweeps, tolerance)
+    return seeds, placed, stage(subzones.rake_zones(placed, cells, ZONE_MARGINS, sweeps, tolerance))
 
 
 @query(
@@ -264,14 +265,15 @@ def _(spark, sf):
 
 @query("y09_sub_balance", f"{ZONE_RAKE} select mgra, pool, cell, round(w, 4) as w from {_zone_last} where w > 0")
 def _(spark, sf):
-    weights = subzones.cell_weights(raked_zones(spark, sf))
+    _, _, raked = raked_zones(spark, sf)
+    weights = subzones.cell_weights(raked)
     return weights.withColumn("w", F.round("w", 4))
 
 
 @query("y09_zone_integers", f"{ZONE_RAKE}, {ZONE_INT} select mgra, pool, cell, n from slots")
 def _(spark, sf):
-    _, controls, _ = zone_setup(spark, sf)
-    whole = subzones.integer_cells(subzones.cell_weights(raked_zones(spark, sf)), controls)
+    _, placed, raked = raked_zones(spark, sf)
+    whole = subzones.integer_cells(subzones.cell_weights(raked), placed)
     return whole.select("mgra", "pool", "cell", F.col("integer_weight").alias("n"))
 
 
@@ -297,8 +299,8 @@ def fill_sql(slots: str, members: str, group: str) -> str:
     from opened join taken using (pool, cell, unit) group by mgra, hhid""",
 )
 def _(spark, sf):
-    seeds, controls, placed = zone_setup(spark, sf)
-    whole = subzones.integer_cells(subzones.cell_weights(raked_zones(spark, sf)), controls)
+    seeds, placed, raked = raked_zones(spark, sf)
+    whole = subzones.integer_cells(subzones.cell_weights(raked), placed)
     slots = whole.select("mgra", "pool", "cell", F.col("integer_weight").alias("n"))
     members = subzones.seed_pools(seeds, placed).select("pool", subzones.cell_id().alias("cell"), "hhid", F.col("WGTP").alias("w"))
     return expand.zone_weights(expand.fill_zones(slots, members, ["pool", "cell"], order="hhid"))

@@ -60,9 +60,9 @@ def cap_expansion(factor: str, limit: float = MAX_EXPANSION) -> str:
 
 
 def weight_of(size: int, limit: float) -> Column:
-    """Weight from the initial weight ``w0``, the contributions ``n`` and the zone's ``logs``."""
+    """Weight from the initial weight ``w0``, the contributions ``n`` and the zone's ``logs`` (NULL: no adjustment)."""
     exponent = " + ".join(f"n[{k}] * logs[{k}]" for k in range(size))
-    return F.expr(f"w0 * {cap_expansion(f'exp({exponent})', limit)}")
+    return F.expr(f"w0 * {cap_expansion(f'coalesce(exp({exponent}), 1d)', limit)}")
 
 
 def pack(rows: DataFrame, targets: Sequence[str], keep: Sequence[str], weight: str = "w0") -> DataFrame:
@@ -94,7 +94,7 @@ def weighted(
     """
     on = [k for k in zone if k in packed.columns]
     joined = packed.join(state.select(*zone, "logs"), on, "left")
-    return joined.withColumn("w", F.coalesce(weight_of(len(names), limit), F.col("w0"))).drop("logs")
+    return joined.withColumn("w", weight_of(len(names), limit)).drop("logs")
 
 
 def margin_step(

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that carry a seed pool's arrays are tens of kilobytes wide.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
