@@ -34,10 +34,13 @@ def controls_table(definitions: DataFrame, synthesis_run: str) -> DataFrame:
     return definitions.withColumn("synthesis_run", F.lit(synthesis_run))
 
 
-def seed_table(seed: DataFrame, synthesis_run: str) -> DataFrame:
+def text_codes(seed: DataFrame) -> DataFrame:
     """Seed records with their code columns pinned to text."""
-    pinned = {c: F.col(c).cast("string") for c in SEED_TEXT_COLUMNS if c in seed.columns}
-    return seed.withColumns(pinned).withColumn("synthesis_run", F.lit(synthesis_run))
+    return seed.withColumns({c: F.col(c).cast("string") for c in SEED_TEXT_COLUMNS if c in seed.columns})
+
+
+def seed_table(seed: DataFrame, synthesis_run: str) -> DataFrame:
+    return text_codes(seed).withColumn("synthesis_run", F.lit(synthesis_run))
 
 
 def run_metadata(
