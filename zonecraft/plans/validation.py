@@ -72,7 +72,7 @@ def control_report(
     if region_summary is not None:
         parts.append(reshape.region_constants(region_summary))
         reported = region_summary.select(F.col("control_name").alias("target"))
-    fitted = reporting.attach_definitions(reporting.stack(parts), ids).select(*ROWS)
+    fitted = reporting.attach_definitions(reporting.stack(parts), F.broadcast(ids)).select(*ROWS)
     numbers = reporting.number_gq_runs(quarters, len(controls))
     gq = gq_comparison(households, quarters).join(numbers, "synthesis_run").select(*ROWS)
     status = lambda rows: rows.withColumn("Status", F.lit(fn.FITTING))
