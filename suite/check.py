@@ -29,6 +29,19 @@ def normal(value):
     return value
 
 
+def kind(name: str) -> str:
+    """Type family; a family that differs between the engines may be written differently although values agree."""
+    name = name.lower()
+    for family, members in {
+        "whole": ("int", "bigint", "smallint", "tinyint", "integer"),
+        "float": ("double", "float"),
+        "text": ("string", "varchar"),
+    }.items():
+        if name in members:
+            return family
+    return name.split("(")[0].removesuffix("_ntz")
+
+
 def bag(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), Counter(tuple(normal(row[i]) for i in order) for row in rows)
@@ -54,7 +67,9 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[str, int]:
         return f"COLUMNS {columns} vs {wanted_columns}", size
     if got != wanted:
         return f"VALUES spark only {list((got - wanted).items())[:2]} sql only {list((wanted - got).items())[:2]}", size
-    return "ok", size
+    sql_types = {r[0]: kind(r[1]) for r in con.execute(f"describe {ORACLES[name]}").fetchall()}
+    differing = {c: (t, sql_types[c]) for c, t in ((c, kind(t)) for c, t in frame.dtypes) if t != sql_types[c]}
+    return ("ok" if not differing else f"ok, but types {differing}"), size
 
 
 def main() -> int:
@@ -72,7 +87,7 @@ def main() -> int:
             verdict, size = compare(spark, con, name, sf_dir)
         except Exception as error:
             verdict, size = "ERROR " + str(error)[:700], -1
-        fine = verdict in ("ok", "rows only")
+        fine = verdict == "rows only" or verdict.startswith("ok")
         bad += not fine
         print(f"{name:42s} {size:8d} {time.time() - start:6.1f}s {verdict}", flush=True)
     print("failed:", bad)

@@ -143,15 +143,23 @@ LONG = "long as (" + " union all ".join(
 ) + ")"
 
 
-@query("r03_years_to_rows", f"{ctes('economic_controls')}, {LONG} select * from long")
+def as_doubles(df, columns):
+    """Amounts are summed as decimals, which is exact in any order, and shown as doubles."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+@query(
+    "r03_years_to_rows",
+    f"{ctes('economic_controls')}, {LONG} select region, Label, year, cast(value as double) as value from long",
+)
 def _(spark, sf):
-    return controls.economic_long(standin(spark, sf, "economic_controls"), YEARS)
+    return as_doubles(controls.economic_long(standin(spark, sf, "economic_controls"), YEARS), ["value"])
 
 
 def _pivot(adjust: bool) -> str:
     column = lambda l: f"sum(case when Label = '{l}' then value end)"
     return ", ".join(
-        (f"{column(l)} - any_value(gq_mil)" if adjust and l == "job_2" else column(l)) + f" as {l}"
+        "cast(" + (f"{column(l)} - any_value(gq_mil)" if adjust and l == "job_2" else column(l)) + f" as double) as {l}"
         for l in ECONOMIC_LABELS
     )
 
@@ -161,7 +169,7 @@ def _pivot(adjust: bool) -> str:
     f"{ctes('economic_controls')}, {LONG} select region, year, {_pivot(False)} from long group by region, year",
 )
 def _(spark, sf):
-    return controls.economic_controls(standin(spark, sf, "economic_controls"), YEARS)
+    return as_doubles(controls.economic_controls(standin(spark, sf, "economic_controls"), YEARS), ECONOMIC_LABELS)
 
 
 @query(
@@ -171,4 +179,5 @@ def _(spark, sf):
     select region, year, {_pivot(True)} from long left join military on year = increment group by region, year""",
 )
 def _(spark, sf):
-    return controls.region_controls(standin(spark, sf, "economic_controls"), standin(spark, sf, "mgrabase"), YEARS)
+    rows = controls.region_controls(standin(spark, sf, "economic_controls"), standin(spark, sf, "mgrabase"), YEARS)
+    return as_doubles(rows, ECONOMIC_LABELS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.control_queries import ASE, FORECAST, LONG, YEARS, ZONES, ase_rows, zones
+from suite.control_queries import ASE, FORECAST, LONG, YEARS, ZONES, as_doubles, ase_rows, zones
 from suite.registry import query
 from suite.report_queries import MELT, SM, SP
 from suite.seed_queries import SEED_HH, SEED_PP, H, P, households, persons, seed_hh, seed_pp
@@ -141,11 +141,13 @@ PIVOT = ", ".join(f"sum(case when Label = '{l}' then value end) as {l}" for l in
     "q11_employment",
     f"""{ctes(ECON)}, {LONG}, p as (select region, year, {PIVOT} from long group by region, year),
     s as (select region, year, job_2 - 2000 as job_2, {JOBS} - 2000 as jobs, {LFP} as labor_force from p)
-    select region, year, job_2, jobs, labor_force from s where job_2 < 0 or labor_force < jobs""",
+    select region, year, cast(job_2 as double) as job_2, cast(jobs as double) as jobs,
+      cast(labor_force as double) as labor_force from s where job_2 < 0 or labor_force < jobs""",
 )
 def _(spark, sf):
     rows = controls.economic_controls(standin(spark, sf, ECON), YEARS)
-    return quality.employment_gap(rows.withColumn("job_2", F.col("job_2") - 2000))
+    found = quality.employment_gap(rows.withColumn("job_2", F.col("job_2") - 2000))
+    return as_doubles(found, ["job_2", "jobs", "labor_force"])
 
 
 @query(

@@ -26,7 +26,7 @@ SM, SP, X, SH, CT, DEF = (
 
 def _melt_sql(source: str, name: str) -> str:
     rows = " union all ".join(
-        f"select lower(geography) as geography, id, '{t}' as target, {t}_control as control_value, {t}_result as result "
+        f"select lower(geography) as geography, id, '{t}' as target, cast({t}_control as double) as control_value, cast({t}_result as double) as result "
         f"from {source}"
         for t in SUMMARY_TARGETS
     )
@@ -186,7 +186,8 @@ def _(spark, sf):
 @query(
     "r02_widen",
     f"""{ctes(SM)} select id, {', '.join(
-        f'{t}_control, {t}_result, {t}_result - {t}_control as {t}_diff' for t in SUMMARY_TARGETS)} from summary_mgra""",
+        f'cast({t}_control as double) as {t}_control, cast({t}_result as double) as {t}_result, '
+        f'cast({t}_result - {t}_control as double) as {t}_diff' for t in SUMMARY_TARGETS)} from summary_mgra""",
 )
 def _(spark, sf):
     return reshape.widen(melted(spark, sf), ["id"], SUMMARY_TARGETS)
@@ -617,21 +618,24 @@ def _(spark, sf):
 @query(
     "o04_slowest_steps",
     f"""{ctes('step_log')}, r as (select *, row_number() over (partition by run_id order by seconds desc, event_id) as rank
-    from step_log) select run_id, model_name, event_id, seconds, rank from r where rank <= 3""",
+    from step_log) select run_id, model_name, event_id, cast(seconds as double) as seconds, rank from r where rank <= 3""",
 )
 def _(spark, sf):
-    return metrics.largest_per(standin(spark, sf, "step_log"), ["run_id"], "seconds", "event_id", 3)
+    rows = metrics.largest_per(standin(spark, sf, "step_log"), ["run_id"], "seconds", "event_id", 3)
+    return rows.withColumn("seconds", F.col("seconds").cast("double"))
 
 
 @query(
     "a17_run_timing",
-    f"""{ctes('step_log')} select run_id, sum(seconds) as total_seconds,
+    f"""{ctes('step_log')} select run_id, cast(sum(seconds) as double) as total_seconds,
     round(avg(cast(seconds as double)) filter (where contains(model_name, 'balancing')), 8) as mean_balancing
     from step_log group by run_id""",
 )
 def _(spark, sf):
     steps = standin(spark, sf, "step_log")
-    return metrics.run_timing(steps).withColumn("mean_balancing", F.round("mean_balancing", 8))
+    return metrics.run_timing(steps).withColumns(
+        {"total_seconds": F.col("total_seconds").cast("double"), "mean_balancing": F.round("mean_balancing", 8)}
+    )
 
 
 # --- runs --------------------------------------------------------------------------------------------------------

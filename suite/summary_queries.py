@@ -66,7 +66,7 @@ STAGES = {
     "y12_region_summary",
     f"""{ctes(H, P)}, {INCIDENCE}, s as ({' union all '.join(
         f"select '{t}' as control_name, cast(sum(2 * WGTP * {t}) as bigint) as control_value, "
-        + ", ".join(f"round(sum(({e}) * {t}), 4) as {n}" for n, e in STAGES.items())
+        + ", ".join(f"round(cast(sum(({e}) * {t}) as double), 4) as {n}" for n, e in STAGES.items())
         + " from inc_rows" for t in SIG_TARGETS)}) select * from s""",
 )
 def _(spark, sf):
@@ -74,4 +74,4 @@ def _(spark, sf):
     totals = rows.agg(*[F.sum(2 * F.col("WGTP") * F.col(t)).alias(t) for t in SIG_TARGETS])
     controls = totals.unpivot([], SIG_TARGETS, "control_name", "control_value")
     summary = summaries.region_summary(rows, controls, SIG_TARGETS, list(STAGES))
-    return summary.withColumns({n: F.round(n, 4) for n in STAGES})
+    return summary.withColumns({n: F.round(F.col(n).cast("double"), 4) for n in STAGES})

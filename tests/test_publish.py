@@ -46,3 +46,14 @@ def test_csv_with_another_schema_fails(spark):
 def test_forecast_location():
     assert tables.forecast_source("[fc]", "pop") == "`fc`.`pop`"
     assert tables.forecast_source("/data/fc", "pop") == "/data/fc/pop"
+
+
+def test_own_control_definitions(spark):
+    path = new_stage_path(spark, "definitions")
+    rows = [("Renters", "mgra", "households", 5, None, None, "VEH = 0 and BLD >= 2")]
+    names = "target string, geography string, seed_table string, importance long, control_field string, population string, predicate string"
+    publish.write_csv(spark.createDataFrame(rows, names), path)
+    (control,) = tables.read_controls(spark, path)
+    assert control.field == "Renters"
+    df = spark.createDataFrame([(0, 3), (0, 1), (2, 9), (None, 4)], "VEH int, BLD int")
+    assert df.agg(F.count_if(control.matches())).first()[0] == 1

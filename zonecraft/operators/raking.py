@@ -278,14 +278,22 @@ def integerize(
 
 
 def apportion(members: DataFrame, totals: DataFrame, group: Sequence[str], weight: str, tie: str) -> DataFrame:
-    """Share a group's whole ``total`` out over its members in proportion to whole weights, in whole-number arithmetic."""
+    """Share a group's whole ``total`` out over its members in proportion to whole weights, in whole-number arithmetic.
+
+    A group that has a total but no member with a weight fails the job: its total could not be kept.
+    """
     group = list(group)
-    whole = members.groupBy(*group).agg(F.sum(weight).cast("long").alias("_all"))
+    usable = members.where(F.col(weight) > 0)
+    whole = usable.groupBy(*group).agg(F.sum(weight).cast("long").alias("_all"))
+    wanted = totals.select(*group, F.col("total").cast("long").alias("_total"))
     shares = (
-        members.where(F.col(weight) > 0)
-        .join(totals.select(*group, F.col("total").cast("long").alias("_total")).join(whole, group), group)
+        usable.join(wanted.join(whole, group), group)
         .withColumn("_units", F.col(weight).cast("long") * F.col("_total"))
         .withColumns({"_base": F.expr("_units div _all"), "_rest": F.col("_units") % F.col("_all")})
     )
+    # A group without members finds no partner in the join above, so it enters as a row that fails when it is written.
+    alarm = F.raise_error(F.lit("A group to be filled has no member")).cast("long")
+    nobody = wanted.where("_total > 0").join(whole, group, "left_anti").select(*group, alarm.alias("_base"))
+    shares = shares.unionByName(nobody, allowMissingColumns=True)
     need = shares.groupBy(*group).agg((F.any_value("_total") - F.sum("_base")).alias("_need"))
     return round_up_largest(shares.drop("_units", "_all", "_total"), group, need, "_base", "_rest", tie)

@@ -33,7 +33,9 @@ def melt_side(summary: DataFrame, suffix: str, value: str, keys: Sequence[str] =
     """Only the control columns, or only the result columns, long."""
     columns = [c for c in summary.columns if c.endswith(suffix)]
     long = summary.unpivot(list(keys), columns, "target", value)
-    return long.withColumn("target", F.regexp_replace("target", suffix + "$", ""))
+    return long.select(
+        *keys, F.regexp_replace("target", suffix + "$", "").alias("target"), F.col(value).cast("double").alias(value)
+    )
 
 
 def join_melted(controls: DataFrame, results: DataFrame) -> DataFrame:

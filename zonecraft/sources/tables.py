@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonecraft.definitions import Control
+
 
 def open_table(spark: SparkSession, source: str) -> DataFrame:
     """A Parquet path (anything with a slash) or a catalog table name."""
@@ -66,3 +68,16 @@ def pin_types(schema: T.StructType, text: Iterable[str] = (), measures: Iterable
     """The schema with some columns pinned to text and some to double, whatever a file looks like."""
     pinned = {**dict.fromkeys(text, T.StringType()), **dict.fromkeys(measures, T.DoubleType())}
     return T.StructType([T.StructField(f.name, pinned.get(f.name, f.dataType), True) for f in schema])
+
+
+def read_controls(spark: SparkSession, path: str) -> list[Control]:
+    """Control definitions from a CSV of a user's own: a configuration file of some dozens of lines, so it is read whole.
+
+    Columns target, geography, seed_table and predicate (a Spark SQL condition over that table) are needed; importance,
+    control_field and population may be empty.
+    """
+    text = "target string, geography string, seed_table string, importance long, control_field string, population string, predicate string"
+    rows = spark.read.csv(path, schema=text, header=True, mode="FAILFAST", enforceSchema=False).collect()
+    return [
+        Control(r.target, r.geography, r.seed_table, r.importance, r.predicate, r.control_field, r.population) for r in rows
+    ]
