@@ -59,9 +59,13 @@ def cap_expansion(factor: str, limit: float = MAX_EXPANSION) -> str:
     return f"least({factor}, {float(limit)}d)"
 
 
-def weight_of(size: int, limit: float) -> Column:
-    """Weight from the initial weight ``w0``, the contributions ``n`` and the zone's ``logs`` (NULL: no adjustment)."""
-    exponent = " + ".join(f"n[{k}] * logs[{k}]" for k in range(size))
+def weight_of(limit: float = MAX_EXPANSION) -> Column:
+    """Weight from the initial weight ``w0``, the contributions ``n`` and the zone's ``logs`` (NULL: no adjustment).
+
+    The products are summed by an array function: spelled out, one term per control, they would make the generated method
+    too large for the JVM to compile, which is several times slower per row.
+    """
+    exponent = "aggregate(zip_with(n, logs, (a, b) -> a * b), 0d, (total, term) -> total + term)"
     return F.expr(f"w0 * {cap_expansion(f'coalesce(exp({exponent}), 1d)', limit)}")
 
 
@@ -86,7 +90,7 @@ def no_adjustment(targets: DataFrame, zone: Sequence[str], names: Sequence[str])
 
 
 def weighted(
-    packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], limit: float = MAX_EXPANSION
+    packed: DataFrame, state: DataFrame, zone: Sequence[str], limit: float = MAX_EXPANSION
 ) -> DataFrame:
     """Records with their weight ``w``. A record of a zone without targets keeps its initial weight.
 
@@ -94,7 +98,7 @@ def weighted(
     """
     on = [k for k in zone if k in packed.columns]
     joined = packed.join(state.select(*zone, "logs"), on, "left")
-    return joined.withColumn("w", weight_of(len(names), limit)).drop("logs")
+    return joined.withColumn("w", weight_of(limit)).drop("logs")
 
 
 def margin_step(
@@ -103,7 +107,7 @@ def margin_step(
     """Adjust the factors of one margin in every open zone."""
     on = [k for k in zone if k in packed.columns]
     at = [names.index(t) for t in margin.targets]
-    w = weight_of(len(names), limit)
+    w = weight_of(limit)
     current = packed.join(state.where("open").select(*zone, "logs"), on).withColumn("w", w)
     x = ", ".join(f"sum(w * n[{k}])" for k in at)
     y = ", ".join(f"sum(w * n[{k}] * n[{k}])" for k in at)
@@ -184,7 +188,7 @@ def rake(
     names = list(dict.fromkeys(t for m in margins for t in m.targets))
     packed = stage(pack(rows, names, [*zone, record]), "records")
     state = rake_state(packed, targets, zone, names, margins, sweeps, tolerance, limit)
-    return weighted(packed, state, zone, names, limit).drop("n")
+    return weighted(packed, state, zone, limit).drop("n")
 
 
 def weighted_totals(
@@ -192,7 +196,7 @@ def weighted_totals(
     limit: float = MAX_EXPANSION,
 ) -> DataFrame:
     """Weighted total of the chosen controls per zone, long."""
-    rows = weighted(packed, state, zone, names, limit)
+    rows = weighted(packed, state, zone, limit)
     sums = [F.expr(f"sum(w * n[{names.index(t)}])").alias(t) for t in chosen]
     return rows.groupBy(*zone).agg(*sums).unpivot(list(zone), list(chosen), "target", "total")
 
@@ -201,7 +205,7 @@ def zone_gap(
     packed: DataFrame, state: DataFrame, zone: Sequence[str], names: Sequence[str], limit: float = MAX_EXPANSION
 ) -> DataFrame:
     """Largest relative miss of any control per zone, measured after the raking."""
-    rows = weighted(packed, state, zone, names, limit)
+    rows = weighted(packed, state, zone, limit)
     sums = rows.groupBy(*zone).agg(
         F.expr(f"array({', '.join(f'sum(w * n[{k}])' for k in range(len(names)))})").alias("_x")
     )
