@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecraft.llm import packing, records, token_counts
+from zonecraft.llm import ngram_join, packing, records, token_counts
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_report(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json")
+
+
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(read_table(spark, sf_dir, "documents"))
