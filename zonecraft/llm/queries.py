@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonecraft.llm import ngram_join, packing, records, token_counts
+from zonecraft.llm import ngram_join, packing, records, suffix_repeats, token_counts
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,12 @@ def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_report(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json")
 
 
+@query
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(read_table(spark, sf_dir, "documents"))
