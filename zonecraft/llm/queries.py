@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.llm import ngram_join, packing, records, suffix_repeats, token_counts
+from zonecraft.llm import mixing, ngram_join, packing, records, suffix_repeats, token_counts
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
