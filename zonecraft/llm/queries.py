@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.llm import mixing, ngram_join, packing, records, suffix_repeats, token_counts
+from zonecraft.llm import mixing, neighbours, ngram_join, packing, records, suffix_repeats, token_counts
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
