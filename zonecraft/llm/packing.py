@@ -12,39 +12,40 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from zonecraft.llm.common import Stages, map_batches, texts_of, typed
+from zonecraft.llm.common import Stages, map_batches, typed
 from zonecraft.llm.tokens import encoder, tokenizer_path
-from zonecraft.llm.words import mix
+from zonecraft.llm.words import blocks
 from zonecraft.operators.running import running_total
 
 SEQUENCE = 2048
 END_ID = 1
-BUCKETS = 1024
+BUCKET_BITS = 10
 DIMENSIONS = 4
 BITS = 15
 SEED = 20_011
-ROWS = 256  # rows whose hashed vectors are held at a time
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def directions() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((BUCKETS, DIMENSIONS))
+    return np.random.default_rng(SEED).standard_normal((1 << BUCKET_BITS, DIMENSIONS))
 
 
 def project(ids: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
     """Coordinates 0 .. 2**BITS - 1 of each document: damped hashed counts of unit length, projected and squashed."""
-    places = [mix(i.astype(np.uint64) + np.uint64(1)) & np.uint64(BUCKETS - 1) for i in ids]
-    counts = np.stack([np.bincount(p.astype(np.int64), minlength=BUCKETS) for p in places])
-    damped = np.sqrt(counts)
-    damped /= np.maximum(np.sqrt(counts.sum(1, keepdims=True)), 1e-9)
-    unit = 1 / (1 + np.exp(-1.702 * (damped @ matrix)))
+    out = np.empty((len(ids), matrix.shape[1]))
+    for i, own in enumerate(ids):
+        bucket = (own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)
+        damped = np.sqrt(np.bincount(bucket.astype(np.int64), minlength=1 << BUCKET_BITS))
+        out[i] = damped @ matrix / np.sqrt(len(own))
+    unit = 1 / (1 + np.exp(-1.702 * out))
     return np.minimum((unit * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
@@ -87,19 +88,19 @@ def curve_places(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
         end = np.array([end_id], coder.kind).tobytes()
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                part = batch.slice(first, ROWS)
-                packed = [coder.ids(t) + end for t in texts_of(part.column(1)).to_pylist()]
-                ids = [np.frombuffer(p, coder.kind) for p in packed]
+            for first, last, words in blocks(batch.column(1)):
+                flat, bounds, _ = coder.encode_block(words)
+                packed = [flat[a:b].tobytes() + end for a, b in pairwise(bounds.tolist())]
+                n = len(packed)
                 yield {
-                    "row": np.arange(row, row + len(ids)),
-                    "doc_id": part.column(0),
-                    "key": hilbert_keys(project(ids, matrix)),
-                    "n": [len(i) for i in ids],
-                    "width": [coder.width] * len(ids),
+                    "row": np.arange(row, row + n),
+                    "doc_id": batch.column(0).slice(first, last - first),
+                    "key": hilbert_keys(project([np.frombuffer(p, coder.kind) for p in packed], matrix)),
+                    "n": np.diff(bounds) + 1,
+                    "width": [coder.width] * n,
                     "ids": packed,
                 }
-                row += len(ids)
+                row += n
 
     plain = typed(docs, {"doc_id": "long", "text": "string"})
     return map_batches(plain, "row long, doc_id long, key long, n long, width int, ids binary", work)
@@ -114,6 +115,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_id: int =
     joined = encoded.select("row", "doc_id", "width", "ids").join(placed, "row").drop("row")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        encoder.cache_clear()  # a worker that has encoded before needs its memory for the join
         for batch in batches:
             pieces: list[tuple] = []
             for doc_id, width, ids, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):

@@ -24,8 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.llm.common import Stages, map_batches, texts_of, typed
+from zonecraft.llm.common import Stages, map_batches, typed
 from zonecraft.llm.tokens import encoder, tokenizer_path
+from zonecraft.llm.words import blocks
 from zonecraft.operators.running import running_total
 from zonecraft.session import new_stage_path
 
@@ -92,13 +93,15 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             if files is None and batch.num_rows:
                 store.create_dir(base, recursive=True)
                 files = store.open_output_stream(f"{name}.{attempt}.tmp")
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)).to_pylist(), strict=True):
-                ids = coder.ids(text) + end
-                record = frame(serialize(doc_id, ids, coder.width))
-                files.write(record)
-                index.append(place)
-                place += len(record)
-                tokens += len(ids) // coder.width
+            for first, last, words in blocks(batch.column(1)):
+                flat, bounds, _ = coder.encode_block(words)
+                doc_ids = batch.column(0).slice(first, last - first).to_pylist()
+                for doc_id, a, b in zip(doc_ids, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    record = frame(serialize(doc_id, flat[a:b].tobytes() + end, coder.width))
+                    files.write(record)
+                    index.append(place)
+                    place += len(record)
+                tokens += len(flat) + len(doc_ids)
         if files is None:
             return
         files.close()

@@ -11,27 +11,39 @@ repeated rows, NULL ids and other columns (which are not read) change nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from zonecraft.llm.common import map_batches, texts_of, typed
-from zonecraft.llm.tokens import Encoder, encoder, tokenizer_path
-from zonecraft.llm.words import split
+from zonecraft.llm.common import map_batches, typed
+from zonecraft.llm.tokens import Encoder, encoder, single, tokenizer_path
+from zonecraft.llm.words import Words, blocks
 
 LIMIT = 2048
 
 
+def block_counts(words: Words, coder: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the texts of a block: running count at the end of each piece, piece ends, and where texts begin in both."""
+    _, bounds, each = coder.encode_block(words)
+    if coder.mode == "word":
+        ends, starts = words.ends, words.bounds
+    else:  # a text is one piece, an empty one none
+        each = np.diff(bounds)
+        filled = np.diff(words.offsets) > 0
+        each, ends = each[filled], words.offsets[1:][filled]
+        starts = np.concatenate([[0], np.cumsum(filled)])
+    counts = np.cumsum(each)
+    before = np.concatenate([[0], counts])[starts[:-1]]
+    sizes = np.diff(starts)
+    return counts - np.repeat(before, sizes), ends - np.repeat(words.offsets[:-1], sizes), starts
+
+
 def prefix_table(text: str, coder: Encoder) -> tuple[np.ndarray, np.ndarray]:
     """Bytes at which pieces end, and the exact token count of each such prefix."""
-    raw = text.encode()
-    if coder.mode != "word":
-        total = len(coder.ids(text)) // coder.width
-        return np.array([len(raw)][: bool(raw)], np.int64), np.array([total][: bool(raw)], np.int64)
-    counts = np.cumsum(coder.word_counts(text))
-    found = split(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-    return found.ends, counts
+    counts, ends, _ = block_counts(single(text.encode()), coder)
+    return ends, counts
 
 
 def count_at(text: str, table: tuple[np.ndarray, np.ndarray], n_bytes: int, coder: Encoder) -> int:
@@ -57,8 +69,10 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = encoder(path)
         for batch in batches:
-            tables = [prefix_table(t, coder) for t in texts_of(batch.column(1)).to_pylist()]
-            yield {"doc_id": batch.column(0), "ends": [t[0] for t in tables], "counts": [t[1] for t in tables]}
+            for first, last, words in blocks(batch.column(1)):
+                counts, ends, starts = block_counts(words, coder)
+                cut = lambda values, at=starts: [values[a:b] for a, b in pairwise(at.tolist())]
+                yield {"doc_id": batch.column(0).slice(first, last - first), "ends": cut(ends), "counts": cut(counts)}
 
     return map_batches(typed(docs, {"doc_id": "long", "text": "string"}), "doc_id long, ends array<long>, counts array<long>", work)
 
@@ -70,28 +84,24 @@ def token_report(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = encoder(path)
         for batch in batches:
-            sizes, totals, kept, kept_tokens = [], [], [], []
-            for text in texts_of(batch.column(1)).to_pylist():
-                if coder.mode == "word":
-                    counts = np.cumsum(coder.word_counts(text))
-                    total = int(counts[-1]) if len(counts) else 0
-                else:
-                    total = len(coder.ids(text)) // coder.width
-                size = len(text.encode())
-                # The ends are only needed where something is cut off.
-                fits = (size, total) if total <= limit else longest_within(prefix_table(text, coder), limit)
-                sizes.append(size)
-                totals.append(total)
-                kept.append(fits[0])
-                kept_tokens.append(fits[1])
-            yield {
-                "doc_id": batch.column(0),
-                "n_bytes": sizes,
-                "n_tokens": totals,
-                "over_limit": [t > limit for t in totals],
-                "kept_bytes": kept,
-                "kept_tokens": kept_tokens,
-            }
+            for first, last, words in blocks(batch.column(1)):
+                counts, ends, starts = block_counts(words, coder)
+                sizes = np.diff(words.offsets)
+                totals, kept, kept_tokens = [], [], []
+                for size, a, b in zip(sizes.tolist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    total = int(counts[b - 1]) if b > a else 0
+                    within = (size, total) if total <= limit else longest_within((ends[a:b], counts[a:b]), limit)
+                    totals.append(total)
+                    kept.append(within[0])
+                    kept_tokens.append(within[1])
+                yield {
+                    "doc_id": batch.column(0).slice(first, last - first),
+                    "n_bytes": sizes,
+                    "n_tokens": totals,
+                    "over_limit": [t > limit for t in totals],
+                    "kept_bytes": kept,
+                    "kept_tokens": kept_tokens,
+                }
 
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, kept_bytes long, kept_tokens long"
     return map_batches(typed(docs, {"doc_id": "long", "text": "string"}), schema, work)

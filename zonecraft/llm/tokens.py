@@ -11,15 +11,21 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 
+from zonecraft.llm.words import Words, split
+
 # Pieces remembered per worker process, twice: when the newer half is full it becomes the older one.
-REMEMBERED = 250_000
-# Characters that are visible in every version of Unicode: printable ASCII and the letters of the Latin blocks.
-_GAP = re.compile("[ \n](?![!-~À-ɏ])")
+REMEMBERED = 400_000
+# First bytes of characters that are visible in every version of Unicode: printable ASCII and the Latin letters.
+VISIBLE = np.zeros(256, bool)
+VISIBLE[[*range(33, 127), *range(0xC3, 0xC9)]] = True
 # Letters of ASCII and Latin-1, then ASCII marks other than the apostrophe: two pieces under both pre-tokenizers.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -84,57 +90,127 @@ class Encoder:
                 self.mode = "space"
             elif '"behavior": "Removed", "invert": true' in pre and "[^\\\\s\\\\p{L}\\\\p{N}]+" in pre:
                 self.mode = "word"
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.pieces = Memory(self._piece)
+        self.code = "H" if self.width == 2 else "I"
         self.chunks = Memory(self._word if self.mode == "word" else self._spaced)
+        self.bare = Memory(self._piece)
         self.others = Memory(self._whole)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
+        """A piece in which no further cut is possible."""
         letters = self.letters
-        return self._pack([t.id for t in self.tokenizer.model.tokenize("".join([letters[b] for b in piece.encode()]))])
+        mapped = "".join([letters[b] for b in piece.encode()])
+        return self._pack([t.id for t in self.tokenize(mapped)])
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII letters only
+            return self._pack([t.id for t in self.tokenize(word.decode())])
         text = word.decode()
         plain = _PLAIN.fullmatch(text)
         if not plain or b"<|" in word:
             return self._whole(text)
-        marks = plain[2]
-        return self.pieces[plain[1].lower()] + (self.pieces[marks] if marks else b"")
+        if plain[2]:
+            return self.chunks[plain[1].encode()] + self.bare[plain[2]]
+        return self._piece(text.lower())
 
     def _spaced(self, chunk: str) -> bytes:
         """A chunk that stands after a space, or one that begins with the newline before it."""
-        if chunk[:1] == "\n":
-            body, lead = chunk[1:], ""
-        else:
-            body, lead = chunk, " "
-        plain = _PLAIN.fullmatch(body)
+        if chunk.isascii() and chunk.isalpha():
+            return self._pack([t.id for t in self.tokenize(self.letters[32] + chunk)])
+        after_line = chunk[:1] == "\n"
+        plain = _PLAIN.fullmatch(chunk, int(after_line))
         if not plain or "<|" in chunk:
-            return self._whole(lead + chunk)
-        marks = plain[2]
-        found = self.pieces[lead + plain[1]] + (self.pieces[marks] if marks else b"")
-        return found if lead else self.pieces["\n"] + found
+            return self._whole(chunk if after_line else " " + chunk)
+        if after_line:
+            found = self.bare["\n"] + self.bare[plain[1]]
+        elif not plain[2]:
+            return self._piece(" " + chunk)
+        else:
+            found = self.chunks[plain[1]]
+        return found + self.bare[plain[2]] if plain[2] else found
 
     def ids(self, text: str) -> bytes:
-        if self.mode == "word":
-            return b"".join(map(self.chunks.__getitem__, text.encode().split()))
+        """The ids of one text, packed."""
+        flat, _, _ = self.encode_block(single(text.encode()))
+        return flat.tobytes()
+
+    def encode_block(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts of a block, where each text's ids begin (one more than texts), and ids per word.
+
+        Ids per word are only complete in mode "word". Each distinct word of the block is looked up once.
+        """
+        raw = words.data.tobytes()
+        n = len(words.counts)
         if self.mode == "whole":
-            return self._whole(text)
-        if text[:1].isspace() or _GAP.search(text):
-            return self._whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self.others[first] + b"".join(map(self.chunks.__getitem__, rest))
-
-    def word_counts(self, text: str) -> np.ndarray:
-        """Tokens of each white-space separated word; for files whose mode is "word"."""
-        words = text.encode().split()
-        sizes = np.fromiter(map(len, map(self.chunks.__getitem__, words)), np.int64, len(words))
-        return sizes // self.width
+            return self._join([self._whole(raw[a:b].decode()) for a, b in pairwise(words.offsets.tolist())])
+        keys, odd = words.hashes(), np.zeros(n, bool)
+        if self.mode == "space":
+            lead, odd = leads(words)
+            keys = keys + lead * np.uint64(0x9E3779B97F4A7C15)
+        _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        starts, ends = words.starts[at].tolist(), words.ends[at].tolist()
+        if self.mode == "word":
+            chunks = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+            found = list(map(self.chunks.__getitem__, chunks))
+        else:
+            found = [
+                (self.others if kind == 0 else self.chunks)[("\n" if kind == 2 else "") + raw[a:b].decode()]
+                for a, b, kind in zip(starts, ends, lead[at].tolist(), strict=True)
+            ]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        flat = np.frombuffer(b"".join(found), self.kind)
+        each = sizes[inverse]
+        before = np.concatenate([[0], np.cumsum(each)])
+        begins = (np.cumsum(sizes) - sizes)[inverse]
+        ids = flat[np.repeat(begins - before[:-1], each) + np.arange(before[-1])]
+        bounds = before[words.bounds]
+        if odd.any():
+            parts = [
+                self._whole(raw[words.offsets[i] : words.offsets[i + 1]].decode()) if odd[i] else ids[bounds[i] : bounds[i + 1]].tobytes()
+                for i in range(n)
+            ]
+            return self._join(parts)
+        return ids, bounds, each
+
+    def _join(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        return np.frombuffer(b"".join(parts), self.kind), np.concatenate([[0], np.cumsum(sizes)]), sizes
+
+
+def single(raw: bytes) -> Words:
+    return split(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+
+
+def leads(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Per word: 0 at the start of a text, 1 after a space, 2 after a newline. Per text: whether it has other gaps."""
+    counts, data = words.counts, words.data
+    n = len(counts)
+    odd = np.zeros(n, bool)
+    lead = np.zeros(len(words.starts), np.uint64)
+    text = np.repeat(np.arange(n), counts)
+    has = counts > 0
+    first, last = words.bounds[:-1][has], words.bounds[1:][has] - 1
+    inner = np.ones(len(words.starts), bool)
+    inner[first] = False
+    at = np.flatnonzero(inner)
+    gap = data[words.starts[at] - 1]
+    lead[at] = np.where(gap == 10, 2, 1)
+    wrong = (words.starts[at] - words.ends[at - 1] != 1) | ((gap != 32) & (gap != 10)) | ~VISIBLE[data[words.starts[at]]]
+    odd[text[at[wrong]]] = True
+    own = np.flatnonzero(has)
+    odd[own] |= (words.starts[first] != words.offsets[:-1][own]) | (words.ends[last] != words.offsets[1:][own])
+    odd |= ~has & (np.diff(words.offsets) > 0)
+    return lead, odd
 
 
 @lru_cache(maxsize=4)
