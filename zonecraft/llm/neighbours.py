@@ -28,14 +28,15 @@ from pyspark.sql import functions as F
 
 from zonecraft.llm.common import Stages, map_batches
 
-DEGREE = 16
-BLOCK = 128
-TREES = 4
-ROUNDS = 3
-KEPT = 5  # nearest that a node keeps from one meeting
+DEGREE = 24
+BLOCK = 1024
+TREES = 16
+FIRST = 12  # nearest that a node keeps from one block
+ROUNDS = 2
+KEPT = 8  # nearest that a node keeps from one meeting
 MEETING = 32  # nodes that point to one node and meet in one block, about
-POOL = 96
-WIDTH = 24
+POOL = 200
+WIDTH = 48
 STEPS = 4
 SEED = 32_452_843
 EDGES = "node long, neighbour long, d float"
@@ -69,9 +70,19 @@ def usual_length(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.length("v") == (row.n if row else 0))
 
 
-def as_matrix(column: pa.Array, kind=np.float32) -> np.ndarray:
-    flat = np.frombuffer(b"".join(column.to_pylist()), "<f8")
-    return flat.reshape(len(column), -1).astype(kind)
+def as_matrix(column: pa.Array, kind: str = "<f4") -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def in_single(nodes: DataFrame) -> DataFrame:
+    """The nodes with components in single precision, half the bytes: enough to choose candidates."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            if batch.num_rows:
+                yield {"node": batch.column(0), "v": [r.tobytes() for r in as_matrix(batch.column(1), "<f8").astype("<f4")]}
+
+    return map_batches(nodes, "node long, v binary", work)
 
 
 def directions(tree: int, count: int, size: int) -> np.ndarray:
@@ -128,7 +139,7 @@ def first_graph(nodes: DataFrame, count: int) -> DataFrame:
 
     def block(rows: pa.Table) -> Iterator[dict]:
         ids = rows.column("node").to_numpy()
-        at, d = nearest(as_matrix(rows.column("v").combine_chunks()), DEGREE)
+        at, d = nearest(as_matrix(rows.column("v").combine_chunks()), FIRST)
         if at.size:
             yield {"node": np.repeat(ids, at.shape[1]), "neighbour": ids[at].ravel(), "d": d.ravel()}
 
@@ -158,7 +169,8 @@ def first_graph(nodes: DataFrame, count: int) -> DataFrame:
 
 def keep_nearest(edges: DataFrame, count: int) -> DataFrame:
     """The ``count`` nearest neighbours of each node; an edge that was there before is not new."""
-    known = edges.groupBy("node", "neighbour").agg(F.min("d").alias("d"), F.min("new").alias("new"))
+    # Dealt by node alone, which serves the window too.
+    known = edges.repartition("node").groupBy("node", "neighbour").agg(F.min("d").alias("d"), F.min("new").alias("new"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("d", "neighbour"))
     return known.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
 
@@ -212,15 +224,15 @@ def build_graph(nodes: DataFrame, stages: Stages, rounds: int = ROUNDS) -> DataF
     return graph.drop("new")
 
 
-def distances(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``query, node, d``: Euclidean distance in double precision for pairs of nodes."""
+def distances(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """``query, node, d``: Euclidean distance, summed in double precision, for pairs of nodes."""
     left = nodes.select(F.col("node").alias("query"), F.col("v").alias("_left"))
     both = pairs.select("query", "node").join(nodes, "node").join(left, "query").select("query", "node", "_left", "v")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             if batch.num_rows:
-                apart = as_matrix(batch.column(2), np.float64) - as_matrix(batch.column(3), np.float64)
+                apart = as_matrix(batch.column(2), kind).astype(float) - as_matrix(batch.column(3), kind)
                 yield {"query": batch.column(0), "node": batch.column(1), "d": np.sqrt((apart * apart).sum(1))}
 
     return map_batches(both, "query long, node long, d double", work)
@@ -240,7 +252,7 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, stages: Stage
         stages.drop(pool)
         reached = marked.where("leaving").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
         fresh = reached.distinct().join(marked.select("query", "node"), ["query", "node"], "left_anti")
-        met = distances(fresh, nodes).withColumn("left", F.lit(False))
+        met = distances(fresh, nodes, "<f4").withColumn("left", F.lit(False))
         kept = marked.select("query", "node", "d", (F.col("left") | F.col("leaving")).alias("left"))
         every = kept.unionByName(met).withColumn("_rank", F.row_number().over(order))
         pool = stages.write(every.where(F.col("_rank") <= POOL).drop("_rank"), "pool")
@@ -260,11 +272,12 @@ def nearest_neighbours(table: DataFrame, k: int, every: int, id_column: str = "v
     asked = vectors.where(F.col("vec_id") % every == 0).join(nodes, "v").select("node", F.col("vec_id").alias("query_id"))
     asked = stages.write(asked, "queries")
 
-    graph = build_graph(nodes, stages)
-    pool = search(asked, graph, nodes, stages)
-    # Each of the k + 1 nearest nodes holds at least one row, so no further node is needed.
+    slim = stages.write(in_single(nodes), "single")
+    graph = build_graph(slim, stages)
+    # Some more than k + 1 nodes, each of which holds at least one row, decide the answer in double precision.
     near = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
-    near_nodes = pool.withColumn("_rank", near).where(F.col("_rank") <= k + 1).drop("_rank")
+    pool = search(asked, graph, slim, stages).withColumn("_rank", near).where(F.col("_rank") <= 2 * k + 10)
+    near_nodes = distances(pool, nodes, "<f8")
     near_rows = near_nodes.join(members, "node").select("query", "vec_id", "d")
     answers = asked.withColumnRenamed("node", "query").join(near_rows, "query").where("vec_id <> query_id")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))
