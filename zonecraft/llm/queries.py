@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.llm import mixing, neighbours, ngram_join, packing, records, suffix_repeats, token_counts
+from zonecraft.llm import (
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    quality_ranking,
+    quality_rules,
+    records,
+    secrets,
+    suffix_repeats,
+    token_counts,
+)
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +65,22 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@query
+def op8_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ranking.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_report(read_table(spark, sf_dir, "documents"))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "probability")
