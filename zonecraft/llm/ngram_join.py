@@ -13,8 +13,10 @@ a document is indexed for its own class and that of the largest partner it can h
 
 Verification. Copies (equal sets) are one node. Each node is first compared with the centre it shares most signatures
 with. Only nodes that share a signature and are still in different components are compared beyond that, so a group of
-near copies costs comparisons in proportion to its size, and no link between components is missed. The comparison
-counts common shingles of the whole sets.
+near copies costs comparisons in proportion to its size, and no link between components is missed. Where both prefixes
+hold rare shingles only, the number of common signatures must reach what a link implies: of the prefix that ends first
+at most n - ceil(4 (n + m) / 9) shingles are missing from the other set. The comparison counts common shingles of the
+whole sets.
 
 Which shingles are frequent only changes costs, never results. Words are compared with A-Z in lower case, as 64-bit
 hashes. NULL and empty texts have no shingles and form a component of their own. Rows that repeat a document id are
@@ -104,8 +106,8 @@ def frequent_shingles(described: DataFrame) -> np.ndarray:
     return np.array([r.token for r in reversed(top)], np.int64).view(np.uint64)
 
 
-def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Signatures of one set. ``frequent`` is sorted; ``rank`` gives each entry's place in the order."""
+def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Signatures of one set, and whether all are rare shingles. ``frequent`` is sorted; ``rank`` is the order's."""
     n = len(shingles)
     need = n // 5 + 1
     if len(frequent):
@@ -115,7 +117,7 @@ def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarr
         common = np.zeros(n, bool)
     rare = shingles[~common][:need]
     if len(rare) == need:
-        return rare
+        return rare, True
     ordered = shingles[common][np.argsort(rank[at[common]])]
     found = [rare]
     for size_class in sorted({n.bit_length(), (n + n // 4).bit_length()}):
@@ -134,11 +136,11 @@ def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarr
                 break
             a, b = tokens[:-k][same], tokens[k:][same]
             found.append(mix(np.minimum(a, b) * np.uint64(3) + mix(np.maximum(a, b)) + np.uint64(size_class)))
-    return np.unique(np.concatenate(found))
+    return np.unique(np.concatenate(found)), False
 
 
 def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """``signature, node, n`` of every document with shingles; copies within a task's recent rows are left out."""
+    """``signature, node, n, rare`` of every document with shingles; copies within a task's recent rows are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         by_rank = frequent.value
@@ -146,7 +148,7 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
         known: set[int] = set()
         for batch in batches:
             for _, _, words in blocks(batch.column(1)):
-                found, nodes, sizes = [], [], []
+                found, nodes, sizes, plain = [], [], [], []
                 for shingles in shingle_sets(words):
                     node = node_of(shingles)
                     if node is None or node in known:
@@ -154,8 +156,9 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
                     if len(known) >= 100_000:
                         known.clear()
                     known.add(node)
-                    own = prefix_signatures(shingles, by_rank[order], order)
+                    own, rare = prefix_signatures(shingles, by_rank[order], order)
                     found.append(own)
+                    plain.append(np.full(len(own), rare))
                     nodes.append(np.full(len(own), node))
                     sizes.append(np.full(len(own), len(shingles)))
                 if found:
@@ -163,9 +166,10 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
                         "signature": np.concatenate(found).view(np.int64),
                         "node": np.concatenate(nodes),
                         "n": np.concatenate(sizes),
+                        "rare": np.concatenate(plain),
                     }
 
-    return map_batches(docs, "signature long, node long, n long", work)
+    return map_batches(docs, "signature long, node long, n long, rare boolean", work)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -205,6 +209,9 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 SIZES_FIT = "5 * least(n, m) >= 4 * greatest(n, m)"
+# With c common signatures. 4 (n + m) / 9, rounded up, is the least overlap of two sets that link.
+COUNT_FITS = """not rare or not other_rare or c >= least(
+    n div 5 + 1 - n + (4 * (n + m) + 8) div 9, m div 5 + 1 - m + (4 * (n + m) + 8) div 9)"""
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -216,36 +223,47 @@ def link_documents(docs: DataFrame) -> DataFrame:
     nodes = described.where("token is null").select("doc_id", "n", "node")
     firsts = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The links among the pairs; whole sets are made for these documents only."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = sets_of(plain, ends.join(firsts, "node"))
+        sets = stages.write(wanted.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+        found = stages.write(links(pairs, sets), "links")
+        stages.drop(sets)
+        return found
+
     frequent = spark.sparkContext.broadcast(frequent_shingles(described))
     indexed = stages.write(signatures(plain, frequent), "signatures")
     shared = (
         indexed.groupBy("signature")
-        .agg(F.min(F.struct("node", "n")).alias("centre"), F.max("node").alias("last"))
+        .agg(F.min(F.struct("node", "n", "rare")).alias("centre"), F.max("node").alias("last"))
         .where("centre.node < last")
-        .select("signature", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m"))
+        .selectExpr("signature", "centre.node as centre", "centre.n as m", "centre.rare as other_rare")
     )
     postings = stages.write(indexed.join(shared, "signature").distinct(), "postings")
     stages.drop(indexed)
-    wanted = postings.select("node").distinct().join(firsts, "node")
-    sets = stages.write(sets_of(plain, wanted).groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
     # Each node with the centre it shares most signatures with.
-    offered = postings.where("node <> centre").where(SIZES_FIT).groupBy("node", "centre").agg(F.count("*").alias("c"))
+    offered = postings.where("node <> centre").where(SIZES_FIT).groupBy("node", "n", "rare", "centre", "m", "other_rare")
+    offered = offered.agg(F.count("*").alias("c")).where(COUNT_FITS)
     best = offered.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("best"))
     first_pairs = stages.write(best.select(F.col("node").alias("a"), F.col("best.centre").alias("b")), "pairs")
-    first_links = stages.write(links(first_pairs, sets), "links")
+    first_links = checked(first_pairs)
     roots = stages.write(components(first_links, stages), "roots")
 
-    # What is left: nodes with a common signature that are still apart.
-    marked = postings.select("signature", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # What is left: nodes with common signatures that are still apart.
+    marked = postings.select("signature", "node", "n", "rare").join(roots, "node", "left")
+    marked = marked.withColumn("root", F.coalesce("root", "node"))
     mixed = marked.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_rows = stages.write(marked.join(mixed.select("signature"), "signature", "left_semi"), "open")
-    other = open_rows.select("signature", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other_root"))
+    stages.drop(postings)
+    other = open_rows.selectExpr("signature", "node as b", "n as m", "rare as other_rare", "root as other_root")
     apart = open_rows.join(other, "signature").where("node < b and root <> other_root").where(SIZES_FIT)
-    rest = apart.select(F.col("node").alias("a"), "b").distinct()
+    apart = apart.groupBy(F.col("node").alias("a"), "b", "n", "m", "rare", "other_rare").agg(F.count("*").alias("c"))
     done = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more_links = stages.write(links(rest.join(done, ["a", "b"], "left_anti"), sets), "links")
-    stages.drop(postings, open_rows, sets, first_pairs)
+    rest = stages.write(apart.where(COUNT_FITS).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
+    stages.drop(open_rows, first_pairs)
+    more_links = checked(rest)
 
     joined = components(first_links.unionByName(more_links), stages)
     placed = firsts.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
