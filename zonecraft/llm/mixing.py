@@ -73,13 +73,14 @@ def targets(sized: DataFrame) -> DataFrame:
     order = [F.col("bound"), F.col("number")]
     below = running_total(weighed, [], order, "source_size", "full_below")
     below = running_total(below, [], order, "weight", "weight_below")
-    whole = weighed.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights"))
-    level = (SHARE * F.col("words") - MOST * F.col("full_below")) / (F.col("weights") - F.col("weight_below"))
-    levelled = below.crossJoin(F.broadcast(whole)).withColumn("level", level)  # one row
+    whole = weighed.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights")).first()
+    if not whole.words:
+        return weighed.select("source", "known", "source_size", F.lit(0.0).alias("target"))
+    level = (SHARE * whole.words - MOST * F.col("full_below")) / (whole.weights - F.col("weight_below"))
     # Sources up to the first one that the level does not fill are at their bound; the level there is the answer.
-    answer = levelled.where("level <= bound").agg(F.min_by("level", F.struct("bound", "number")).alias("answer"))
-    target = F.least(MOST * F.col("source_size"), F.coalesce("answer", F.lit(float("inf"))) * F.col("weight"))
-    return weighed.crossJoin(F.broadcast(answer)).select("source", "known", "source_size", target.alias("target"))
+    answer = below.withColumn("level", level).where("level <= bound").agg(F.min_by("level", F.struct("bound", "number"))).first()[0]
+    target = F.least(MOST * F.col("source_size"), F.lit(float("inf") if answer is None else answer) * F.col("weight"))
+    return weighed.select("source", "known", "source_size", target.alias("target"))
 
 
 def with_gap(chosen: DataFrame) -> DataFrame:
