@@ -10,6 +10,7 @@ from suite.report_queries import DEFINITION_LINES, definition_lines
 from suite.seed_queries import SEED_PP, H, P, seed_pp
 from suite.standins import ctes, standin, table
 from zonecraft.functions import report as fn
+from zonecraft.plans.publication import publish_run
 from zonecraft.schemas import schema
 from zonecraft.session import new_stage_path
 from zonecraft.sources import publish as sinks
@@ -23,16 +24,30 @@ def _stamp(text):
     return F.to_timestamp(F.lit(text))
 
 
+LAKE_ROWS = ["household_id", "mgra", "gq_type", "HHADJINC"]
+
+
+def _published_years(spark, sf):
+    """Every year's households published under one job time, and then once more with other rows, which must change nothing."""
+    root = new_stage_path(spark, "lake")
+    households = standin(spark, sf, SH)
+    years = [r.year for r in households.select("year").distinct().orderBy("year").collect()]
+    config = {"version": "v1", "years": years}
+    for change in (False, True):
+        rows = households.withColumn("mgra", F.lit(-1).cast("bigint")) if change else households
+        for year in years:
+            own = rows.where(F.col("year") == year).select(*LAKE_ROWS)
+            publish_run(spark, {SH: own}, root, year, "2026-01-02 03:04:05", config, "20260102_030405", "tester")
+    return root
+
+
 @query(
     "k01_publish",
     f"""{ctes(SH)} select household_id, mgra, gq_type, HHADJINC, year, timestamp '2026-01-02 03:04:05' as run_timestamp
     from synthetic_households""",
 )
 def _(spark, sf):
-    rows = standin(spark, sf, SH).select("household_id", "mgra", "gq_type", "HHADJINC", "year")
-    stamped = sinks.with_run(rows, F.col("year"), _stamp("2026-01-02 03:04:05"))
-    path = sinks.publish(stamped, new_stage_path(spark, "lake"), SH)
-    return spark.read.schema(stamped.schema).parquet(path)
+    return spark.read.parquet(f"{_published_years(spark, sf)}/{SH}")
 
 
 @query(
@@ -65,49 +80,37 @@ def _(spark, sf):
 
 @query(
     "k05_mark_complete",
-    f"""{ctes(SH)} select 2022 as year, 2 as succeeded, 'geo,households' as files,
-    (select count(*) from synthetic_households) as household_rows, (select count(*) from customer) as geo_rows""",
+    f"""{ctes(SH)} select year, 2 as succeeded, 'run_metadata,synthetic_households' as files, count(*) as household_rows,
+    cast(1 as bigint) as metadata_rows from synthetic_households group by year""",
 )
 def _(spark, sf):
-    root = new_stage_path(spark, "lake")
-    stamp = _stamp("2026-01-02 03:04:05")
-    sinks.publish(sinks.with_run(standin(spark, sf, SH).select("household_id", "mgra"), 2022, stamp), root, "households")
-    sinks.publish(sinks.with_run(standin(spark, sf, "geo_cross_walk"), 2022, stamp), root, "geo")
-    sinks.mark_complete(spark, root, 2022, ["households", "geo"], stamp)
-    markers = spark.read.schema(sinks.MARKER_SCHEMA).parquet(f"{root}/{sinks.MARKERS}")
+    markers = spark.read.schema(sinks.MARKER_SCHEMA).parquet(f"{_published_years(spark, sf)}/{sinks.MARKERS}")
     return markers.select(
         "year",
         "succeeded",
         F.array_join("files", ",").alias("files"),
-        F.col("rows")["households"].alias("household_rows"),
-        F.col("rows")["geo"].alias("geo_rows"),
+        F.col("rows")[SH].alias("household_rows"),
+        F.col("rows")["run_metadata"].alias("metadata_rows"),
     )
 
 
 @query(
     "k04_run_metadata",
-    f"""{ctes(SH)} select year, '20260102_030405' as batch_id, 'tester' as "user", 'v1' as version, '[2022, 2026]' as years,
-    count(*) as households from synthetic_households group by year""",
+    f"""{ctes(SH)}, years as (select distinct year from synthetic_households) select year, '20260102_030405' as batch_id,
+    'tester' as "user", 'v1' as version, (select '[' || string_agg(cast(year as varchar), ', ' order by year) || ']' from years)
+    as years, timestamp '2026-01-02 03:04:05' as run_timestamp from years""",
 )
 def _(spark, sf):
-    config = {"version": "v1", "years": [2022, 2026]}
-    stamp = _stamp("2026-01-02 03:04:05")
-    info = sinks.run_metadata(spark, 2022, config, "20260102_030405", "tester", stamp).drop("run_timestamp", "year")
-    counted = standin(spark, sf, SH).groupBy("year").agg(F.count("*").alias("households"))
-    # The single metadata row is joined to each year of the batch on the batch id.
-    return counted.withColumn("batch_id", sinks.batch_id(stamp)).join(info, "batch_id")
+    return spark.read.parquet(f"{_published_years(spark, sf)}/run_metadata")
 
 
 @query(
     "k06_idempotent_publish",
-    f"""{ctes('run_log')} select table_name, cast(year(ts) as int) as year, run_id as run_timestamp, event_id from run_log
-    where (table_name, run_id) not in (select table_name, run_id from run_log where value > 20)""",
+    f"""{ctes(SH)} select year, count(*) as n, cast(sum(household_id) as bigint) as ids, cast(sum(mgra) as bigint) as zones from synthetic_households group by year""",
 )
 def _(spark, sf):
-    rows = standin(spark, sf, "run_log").select(
-        "table_name", F.year("ts").alias("year"), F.col("run_id").alias("run_timestamp"), "event_id", "value"
-    )
-    return sinks.only_new(rows, rows.where("value > 20")).drop("value")
+    lake = spark.read.parquet(f"{_published_years(spark, sf)}/{SH}")
+    return lake.groupBy("year").agg(F.count("*").alias("n"), F.sum("household_id").alias("ids"), F.sum("mgra").alias("zones"))
 
 
 @query(
@@ -192,32 +195,33 @@ COMPLETE = "select distinct run_id from run_log where table_name = 'signup'"
 
 @query(
     "t01_ingest_completed",
-    f"""{ctes('run_log')} select event_id, value, timestamp '2026-01-01' + to_days(cast(run_id % 20 as int)) as run_timestamp
-    from run_log where run_id % 20 in (select run_id % 20 from run_log where run_id % 20 < 12)""",
+    f"""{ctes('run_log')} select event_id, value, timestamp '2026-01-01' + to_days(cast(run_id % 10 as int)) as run_timestamp,
+    cast(2022 + (run_id % 20) // 10 as int) as year from run_log where run_id % 20 < 12""",
 )
 def _(spark, sf):
-    """Twenty runs share the events; twelve get a marker, eight of them before and four after the first pick-up."""
+    """Twenty runs share the events, pairs of years one job time; twelve get a marker, eight before the first pick-up."""
     root, target, checkpoint = [new_stage_path(spark, n) for n in ("lake", "ingested", "progress")]
-    day = F.expr("cast(run_id % 20 as int)")
-    stamp = F.expr("timestamp'2026-01-01 00:00:00'") + F.make_interval(days=day)
-    rows = standin(spark, sf, "run_log").select("event_id", "value", stamp.alias("run_timestamp"), day.alias("_run"))
+    number = F.expr("cast(run_id % 20 as int)")
+    stamp = F.expr("timestamp'2026-01-01 00:00:00'") + F.make_interval(days=number % 10)
+    rows = standin(spark, sf, "run_log").select("event_id", "value", stamp.alias("run_timestamp"), number.alias("_run"))
+    rows = rows.withColumn("year", (F.lit(2022) + F.floor(F.col("_run") / 10)).cast("int"))
     sinks.publish(rows.drop("_run"), root, "events")
 
     def mark(first, last):
         """Markers of several runs at once: rows and tables are counted from what was written."""
         published = spark.read.schema(rows.drop("_run").schema).parquet(f"{root}/events")
-        number = F.date_diff("run_timestamp", F.lit("2026-01-01"))
-        counted = published.where(number.between(first, last)).groupBy("run_timestamp").agg(F.count("*").alias("n"))
+        number = (F.col("year") - 2022) * 10 + F.date_diff("run_timestamp", F.lit("2026-01-01"))
+        counted = published.where(number.between(first, last)).groupBy(*sinks.RUN).agg(F.count("*").alias("n"))
         markers = counted.select(
-            F.lit(2026).alias("year"),
+            "year",
             F.lit(1).alias("succeeded"),
             F.array(F.lit("events")).alias("files"),
             F.create_map(F.lit("events"), "n").alias("rows"),
             "run_timestamp",
         )
-        markers.write.mode("append").partitionBy("run_timestamp").parquet(f"{root}/{sinks.MARKERS}")
+        markers.write.mode("append").partitionBy(*sinks.RUN).parquet(f"{root}/{sinks.MARKERS}")
 
-    row_type = "event_id bigint, value double, run_timestamp timestamp"
+    row_type = "event_id bigint, value double, run_timestamp timestamp, year int"
     mark(0, 7)
     ingest_completed(spark, root, "events", row_type, target, checkpoint)
     mark(8, 11)

@@ -456,6 +456,6 @@ def _(spark, sf):
     seeds = synthesis.build_seeds(standin(spark, sf, H), standin(spark, sf, P))
     inputs = [standin(spark, sf, name) for name in (*FORECAST, "economic_controls")]
     controls = synthesis.build_controls(*inputs, [2022])
-    settings = synthesis.Settings(sweeps=1, zone_sweeps=20)
+    settings = synthesis.Settings(sweeps=1, zone_sweeps=20, accept_open=True)
     result = synthesis.synthesize(seeds, controls, standin(spark, sf, X), settings)
     return result.households.groupBy("increment", "synthesis_run", "mgra").agg(F.count("*").alias("households"))

@@ -7,7 +7,7 @@ from suite.standins import standin
 from zonecraft.functions.report import BENCHMARK, FITTING
 from zonecraft.operators import quality
 from zonecraft.plans import publication, synthesis, validation
-from zonecraft.session import new_stage_path, stage
+from zonecraft.session import new_stage_path
 from zonecraft.sources import publish, runs
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +19,16 @@ def result(spark):
     seeds = synthesis.build_seeds(table("household_src"), table("person_src"))
     forecast = [table(n) for n in ("pop_ase_mgra", "hh_characteristics_mgra", "mgrabase", "economic_controls")]
     controls = synthesis.build_controls(*forecast, [2022, 2024])
-    settings = synthesis.Settings(sweeps=1, zone_sweeps=20, margins=("workers", "size", "sex", "total"))
-    made = synthesis.synthesize(seeds, controls, table("geo_cross_walk"), settings)
-    made.households, made.persons = stage(made.households), stage(made.persons)
-    return made
+    settings = synthesis.Settings(sweeps=1, zone_sweeps=20, accept_open=True, margins=("workers", "size", "sex", "total"))
+    return synthesis.synthesize(seeds, controls, table("geo_cross_walk"), settings)
+
+
+def test_open_zones_stop_the_job_unless_accepted(spark, result):
+    ended = {r.stage: r for r in result.convergence.collect()}
+    assert set(ended) == {"seed", "seed with regional targets", "zones"} and ended["seed"].open > 0
+    strict = synthesis.Settings(sweeps=1, margins=("workers", "total"))
+    with pytest.raises(synthesis.NotConverged, match="seed: .* zones open after 1 sweeps"):
+        synthesis.seed_weights(result.seeds, result.controls, standin(spark, SF, "geo_cross_walk"), strict)
 
 
 def test_ids_are_one_to_n_per_year_and_runs_are_pure(result):
@@ -52,7 +58,7 @@ def test_report_covers_all_kinds_of_controls(spark, result):
     )
     rows = report.collect()
     assert {r.Status for r in rows} == {FITTING, BENCHMARK}
-    assert {r.geography for r in rows} == {"mgra", "puma", "PUMA", "region"}
+    assert {r.geography for r in rows} == {"mgra", "puma", "region"}
     totals = [r for r in rows if r["Control Field"] == "Total_HH" and r.geography == "mgra"]
     assert totals and all(r.Diff == 0 for r in totals)
     quarters = [r for r in rows if r.Category == "Group Quarters"]

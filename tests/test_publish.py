@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from zonecraft.plans import publication
 from zonecraft.schemas import schema
 from zonecraft.session import new_stage_path
 from zonecraft.sources import publish, tables
@@ -25,6 +26,18 @@ def test_marked_run_is_not_published_again(spark):
     assert [(m.succeeded, m.files, m["rows"]) for m in marker] == [(1, ["t"], {"t": 3})]
 
 
+def test_years_of_one_job_time_are_runs_of_their_own(spark):
+    root = new_stage_path(spark, "lake")
+    for again in (0, 100):
+        for year, size in ((2022, 5), (2026, 7), (None, 2)):
+            tables = {"households": spark.range(size + again)}
+            publication.publish_run(spark, tables, root, year, "2026-01-02 03:04:05", {"v": "1"}, "b", "me")
+    lake = spark.read.parquet(f"{root}/households").groupBy("year").count().collect()
+    assert {r.year: r["count"] for r in lake} == {2022: 5, 2026: 7, None: 2}
+    markers = spark.read.schema(publish.MARKER_SCHEMA).parquet(f"{root}/{publish.MARKERS}").collect()
+    assert {m.year: m["rows"]["households"] for m in markers} == {2022: 5, 2026: 7, None: 2}
+
+
 def test_year_only_for_numeric_folders(spark):
     assert publish.folder_year("2022") == 2022 and publish.folder_year("2022_sc1") is None
     assert "year" not in publish.with_run(spark.range(1), None, stamp()).columns

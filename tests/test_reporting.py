@@ -76,13 +76,13 @@ def test_duplicate_and_missing_crosswalk_fail(spark):
     with pytest.raises(Exception, match="more than once"):
         incidence.with_puma(rows, twice).collect()
     part = spark.createDataFrame([(1, 7)], "mgra long, PUMA int")
-    with pytest.raises(Exception, match="missing PUMA"):
+    with pytest.raises(Exception, match="no PUMA"):
         incidence.with_puma(rows, part).collect()
 
 
 def test_missing_classification_fails(spark):
     df = spark.createDataFrame([(1, None)], "household_id long, gq_type int")
-    with pytest.raises(Exception, match="missing GQ"):
+    with pytest.raises(Exception, match="no gq_type"):
         reporting.household_population(df).collect()
 
 

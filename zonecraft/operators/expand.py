@@ -98,7 +98,7 @@ def run_offsets(
 def offset_ids(rows: DataFrame, offsets: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Shift each run's ids behind those of the runs before it. ``offsets`` has one row per run type (and year)."""
     return (
-        rows.join(F.broadcast(offsets), [*keep, "synthesis_run"])
+        rows.join(offsets, [*keep, "synthesis_run"])
         .withColumn("household_id", F.col("household_id") + F.col("offset"))
         .drop("offset")
     )

@@ -47,7 +47,7 @@ def counts_long(population: DataFrame, area: Sequence[str], controls: Sequence[C
 def with_puma(rows: DataFrame, crosswalk: DataFrame, zone: str = "id") -> DataFrame:
     """Add the zone's PUMA. A zone listed twice or not at all in the crosswalk fails the job."""
     lookup = one_row_per(crosswalk.select("mgra", "PUMA"), ["mgra"], "Crosswalk lists a zone more than once")
-    puma = fail_if(F.col("PUMA").isNull(), "Zone rows have missing PUMA crosswalk entries", F.col("PUMA"))
+    puma = fail_if(F.col("PUMA").isNull(), "the crosswalk has no PUMA for a zone", F.col("PUMA"))
     return rows.join(lookup.withColumnRenamed("mgra", zone), zone, "left").withColumn("PUMA", puma)
 
 

@@ -29,7 +29,7 @@ def publish_run(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     root: str,
-    year: int,
+    year: int | None,
     run_timestamp: str,
     config: Mapping[str, object],
     batch_id: str,

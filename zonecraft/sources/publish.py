@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from zonecraft.functions.report import clean_numeric_text, timestamp_key
 from zonecraft.schemas import SEED_TEXT_COLUMNS
 
-RUN_KEYS = ["table_name", "year", "run_timestamp"]
+# All years of one job share its time, so a run is known by both.
+RUN = ("year", "run_timestamp")
+RUN_KEYS = ["table_name", *RUN]
 MARKERS = "_export_status"
 MARKER_SCHEMA = "year int, run_timestamp timestamp, succeeded int, files array<string>, rows map<string,bigint>"
 
@@ -44,7 +46,7 @@ def seed_table(seed: DataFrame, synthesis_run: str) -> DataFrame:
 
 
 def run_metadata(
-    spark: SparkSession, year: int, config: Mapping[str, object], batch_id: str, user: str, run_timestamp: Column
+    spark: SparkSession, year: int | None, config: Mapping[str, object], batch_id: str, user: str, run_timestamp: Column
 ) -> DataFrame:
     """One row describing a run: every top-level setting, nested ones as JSON text."""
     plain = {k: json.dumps(v) if isinstance(v, (dict, list)) else v for k, v in config.items()}
@@ -63,31 +65,41 @@ def read_if_exists(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def with_year(df: DataFrame) -> DataFrame:
+    """Runs whose folder is no plain year have a NULL year."""
+    return df if "year" in df.columns else df.withColumn("year", F.lit(None).cast("int"))
+
+
 def only_new(rows: DataFrame, published: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFrame:
-    """Rows of runs that are not published yet, so publishing again adds nothing."""
-    return rows.join(published.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of runs that are not published yet, so publishing again adds nothing. A NULL key equals a NULL key."""
+    done = published.select(*[F.col(k).alias(f"_done_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(done[f"_done_{k}"]) for k in keys])
+    return rows.join(done, same, "left_anti")
 
 
-def publish(df: DataFrame, root: str, name: str, partitions: Sequence[str] = ("year", "run_timestamp")) -> str:
+def publish(df: DataFrame, root: str, name: str, partitions: Sequence[str] = RUN) -> str:
     """Append a table under its lake name, one folder per year and run. Runs that are already there are left as they are.
 
     Writes replace whole partitions, so a retry after a failed write cannot leave a run twice or half written.
     """
     path = f"{root.rstrip('/')}/{name}"
-    keys = [p for p in partitions if p in df.columns]
+    rows = with_year(df)
+    keys = [p for p in partitions if p in rows.columns]
     # Only finished runs count as published: their marker names the table.
     done = read_if_exists(df.sparkSession, f"{root.rstrip('/')}/{MARKERS}", MARKER_SCHEMA)
-    done = done.where(F.array_contains("files", name)).select("run_timestamp")
-    fresh = df.join(done, "run_timestamp", "left_anti").select(*df.columns)
+    fresh = only_new(rows, done.where(F.array_contains("files", name)), RUN)
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
     return path
 
 
-def count_published(spark: SparkSession, root: str, names: Sequence[str], run_timestamp: Column) -> DataFrame:
+def count_published(
+    spark: SparkSession, root: str, year: int | None, names: Sequence[str], run_timestamp: Column
+) -> DataFrame:
     """Rows per published table of one run, read back from what was written."""
+    of_year = F.col("year").cast("int").eqNullSafe(F.lit(year).cast("int"))
     counted = [
         spark.read.parquet(f"{root.rstrip('/')}/{n}")
-        .where(F.col("run_timestamp") == run_timestamp)
+        .where(of_year & (F.col("run_timestamp") == run_timestamp))
         .agg(F.count("*").alias("rows"))
         .select(F.lit(n).alias("table_name"), "rows")
         for n in names
@@ -97,7 +109,7 @@ def count_published(spark: SparkSession, root: str, names: Sequence[str], run_ti
 
 def mark_complete(spark: SparkSession, root: str, year: int | None, names: Sequence[str], run_timestamp: Column) -> None:
     """Write the run's completion marker, last of all: tables and rows. Marking again replaces the marker."""
-    counted = count_published(spark, root, names, run_timestamp)
+    counted = count_published(spark, root, year, names, run_timestamp)
     marker = counted.agg(
         F.lit(year).cast("int").alias("year"),
         F.count("*").cast("int").alias("succeeded"),
@@ -106,7 +118,7 @@ def mark_complete(spark: SparkSession, root: str, year: int | None, names: Seque
     ).withColumn("run_timestamp", run_timestamp)
     stamped = marker.select("year", "succeeded", "files", "rows", "run_timestamp")
     path = f"{root.rstrip('/')}/{MARKERS}"
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_timestamp").parquet(path)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).parquet(path)
 
 
 def append_run(df: DataFrame, path: str, run_id: int | Column) -> DataFrame:

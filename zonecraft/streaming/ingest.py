@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.sources.publish import MARKER_SCHEMA, MARKERS, read_if_exists
+from zonecraft.sources.publish import MARKER_SCHEMA, MARKERS, RUN, only_new, read_if_exists
 
 
 def ingest_completed(
     spark: SparkSession, root: str, table: str, schema: str, target: str, checkpoint: str, wait: bool = True
 ):
-    """Copy every run of ``table`` that has a marker to ``target``, each run once.
+    """Copy every run (year and time) of ``table`` that has a marker to ``target``, each run once. ``schema`` names both.
 
     The stream tracks marker files, so a run still being written is never seen. A run's rows replace the run's own
     partition, so a batch that is replayed after a failure leaves the same result.
@@ -20,12 +20,13 @@ def ingest_completed(
 
     def admit(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        named = batch.where(F.array_contains("files", table)).select("run_timestamp").distinct()
-        seen = read_if_exists(session, target, schema).select("run_timestamp").distinct()
-        fresh = named.join(seen, "run_timestamp", "left_anti")
+        named = batch.where(F.array_contains("files", table)).select(*RUN).distinct()
+        fresh = only_new(named, read_if_exists(session, target, schema), RUN)
+        runs = fresh.select(*[F.col(k).alias(f"_{k}") for k in RUN])
         rows = session.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
-        admitted = rows.join(fresh, "run_timestamp", "left_semi")
-        admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_timestamp").parquet(target)
+        same = rows["year"].eqNullSafe(runs["_year"]) & (rows["run_timestamp"] == runs["_run_timestamp"])
+        admitted = rows.join(runs, same, "left_semi")
+        admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).parquet(target)
 
     query = markers.writeStream.foreachBatch(admit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
