@@ -13,10 +13,12 @@ a document is indexed for its own class and that of the largest partner it can h
 
 Verification. Copies (equal sets) are one node. Each node is first compared with the centre it shares most signatures
 with. Only nodes that share a signature and are still in different components are compared beyond that, so a group of
-near copies costs comparisons in proportion to its size, and no link between components is missed. Where both prefixes
-hold rare shingles only, the number of common signatures must reach what a link implies: of the prefix that ends first
-at most n - ceil(4 (n + m) / 9) shingles are missing from the other set. The comparison counts common shingles of the
-whole sets.
+near copies costs comparisons in proportion to its size, and no link between components is missed. A centre is the
+node of a signature with the smallest share of lone shingles: rare ones of its prefix that no other node has there.
+Pairs whose link can be ruled out by counts alone are not compared. They go by the prefix that ends first in the order,
+whose shingles are in the other prefix if they are in the other set: with q lone shingles the sets have at most n - q in
+common, and of a prefix of rare shingles at most n - ceil(4 (n + m) / 9) are missing from the other set. (Sets whose
+prefixes hold all their rare shingles both go first.) The comparison counts common shingles of the whole sets.
 
 Which shingles are frequent only changes costs, never results. Words are compared with A-Z in lower case, as 64-bit
 hashes. NULL and empty texts have no shingles and form a component of their own. Rows that repeat a document id are
@@ -43,6 +45,7 @@ FREQUENT = 100_000  # at most so many shingles count as frequent: 1.6 MB, whatev
 FREQUENT_FROM = 24  # documents
 COUNTED = 2_000_000  # shingles counted together in a task
 NODES = "doc_id long, n long, node long"
+END = 2**63 - 1  # the place where a prefix ends that holds all rare shingles of its set
 
 
 def shingle_sets(words: Words, width: int = SHINGLE) -> list[np.ndarray]:
@@ -106,8 +109,8 @@ def frequent_shingles(described: DataFrame) -> np.ndarray:
     return np.array([r.token for r in reversed(top)], np.int64).view(np.uint64)
 
 
-def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, bool]:
-    """Signatures of one set, and whether all are rare shingles. ``frequent`` is sorted; ``rank`` is the order's."""
+def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of one set: rare shingles and pairs of frequent ones. ``frequent`` is sorted; ``rank`` is the order's."""
     n = len(shingles)
     need = n // 5 + 1
     if len(frequent):
@@ -117,9 +120,9 @@ def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarr
         common = np.zeros(n, bool)
     rare = shingles[~common][:need]
     if len(rare) == need:
-        return rare, True
+        return rare, rare[:0]
     ordered = shingles[common][np.argsort(rank[at[common]])]
-    found = [rare]
+    found = [rare[:0]]
     for size_class in sorted({n.bit_length(), (n + n // 4).bit_length()}):
         groups = max(1, (1 << (size_class - 1)) // 8)
         group = (mix(ordered) % np.uint64(groups)).astype(np.int64)
@@ -136,11 +139,13 @@ def prefix_signatures(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarr
                 break
             a, b = tokens[:-k][same], tokens[k:][same]
             found.append(mix(np.minimum(a, b) * np.uint64(3) + mix(np.maximum(a, b)) + np.uint64(size_class)))
-    return np.unique(np.concatenate(found)), False
+    return rare, np.unique(np.concatenate(found))
 
 
 def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """``signature, node, n, rare`` of every document with shingles; copies within a task's recent rows are left out."""
+    """``signature, node, n, rare, last, single`` of every document with shingles: ``rare`` counts the rare shingles of
+    its prefix, ``last`` is where it ends, ``single`` tells shingles from pairs. Copies within a task's recent rows are
+    left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         by_rank = frequent.value
@@ -148,7 +153,7 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
         known: set[int] = set()
         for batch in batches:
             for _, _, words in blocks(batch.column(1)):
-                found, nodes, sizes, plain = [], [], [], []
+                found, rows = [], []
                 for shingles in shingle_sets(words):
                     node = node_of(shingles)
                     if node is None or node in known:
@@ -156,20 +161,17 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
                     if len(known) >= 100_000:
                         known.clear()
                     known.add(node)
-                    own, rare = prefix_signatures(shingles, by_rank[order], order)
-                    found.append(own)
-                    plain.append(np.full(len(own), rare))
-                    nodes.append(np.full(len(own), node))
-                    sizes.append(np.full(len(own), len(shingles)))
+                    rare, pairs = prefix_signatures(shingles, by_rank[order], order)
+                    found += [rare, pairs]
+                    last = int(rare[-1] >> np.uint64(1)) if len(rare) == len(shingles) // 5 + 1 else END
+                    rows += [(node, len(shingles), len(rare), last, True), (node, len(shingles), len(rare), last, False)]
                 if found:
-                    yield {
-                        "signature": np.concatenate(found).view(np.int64),
-                        "node": np.concatenate(nodes),
-                        "n": np.concatenate(sizes),
-                        "rare": np.concatenate(plain),
-                    }
+                    sizes = [len(f) for f in found]
+                    columns = [np.repeat(np.array(c), sizes) for c in zip(*rows, strict=True)]
+                    named = dict(zip(("node", "n", "rare", "last", "single"), columns, strict=True))
+                    yield {"signature": np.concatenate(found).view(np.int64)} | named
 
-    return map_batches(docs, "signature long, node long, n long, rare boolean", work)
+    return map_batches(docs, "signature long, node long, n long, rare long, last long, single boolean", work)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -209,9 +211,17 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 SIZES_FIT = "5 * least(n, m) >= 4 * greatest(n, m)"
-# With c common signatures. 4 (n + m) / 9, rounded up, is the least overlap of two sets that link.
-COUNT_FITS = """not rare or not other_rare or c >= least(
-    n div 5 + 1 - n + (4 * (n + m) + 8) div 9, m div 5 + 1 - m + (4 * (n + m) + 8) div 9)"""
+# The least overlap of two sets that link: 4 (n + m) / 9, rounded up.
+OVERLAP = "(4 * (n + m) + 8) div 9"
+LONE_FITS = f"""{SIZES_FIT} and case when last < other_last then n - lone >= {OVERLAP}
+    when other_last < last then m - other_lone >= {OVERLAP}
+    when last = {END} then least(n - lone, m - other_lone) >= {OVERLAP}
+    else greatest(n - lone, m - other_lone) >= {OVERLAP} end"""
+# With c common signatures. A prefix that ends among the rare shingles has n // 5 + 1 of them.
+COUNT_FITS = f"""case when last < other_last then c >= n div 5 + 1 - n + {OVERLAP}
+    when other_last < last then c >= m div 5 + 1 - m + {OVERLAP} else true end"""
+OTHER = ["node as b", "n as m", "last as other_last", "lone as other_lone"]
+PAIR = ["a", "b", "n", "m", "last", "other_last"]
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -234,32 +244,32 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
     frequent = spark.sparkContext.broadcast(frequent_shingles(described))
     indexed = stages.write(signatures(plain, frequent), "signatures")
-    shared = (
-        indexed.groupBy("signature")
-        .agg(F.min(F.struct("node", "n", "rare")).alias("centre"), F.max("node").alias("last"))
-        .where("centre.node < last")
-        .selectExpr("signature", "centre.node as centre", "centre.n as m", "centre.rare as other_rare")
-    )
-    postings = stages.write(indexed.join(shared, "signature").distinct(), "postings")
+    shared = indexed.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    shared_rows = stages.write(indexed.join(shared.select("signature"), "signature", "left_semi").distinct(), "shared")
     stages.drop(indexed)
+    lone = shared_rows.groupBy("node").agg((F.first("rare") - F.count_if("single")).alias("lone"))
+    postings = stages.write(shared_rows.join(lone, "node"), "postings")
+    stages.drop(shared_rows)
 
     # Each node with the centre it shares most signatures with.
-    offered = postings.where("node <> centre").where(SIZES_FIT).groupBy("node", "n", "rare", "centre", "m", "other_rare")
-    offered = offered.agg(F.count("*").alias("c")).where(COUNT_FITS)
-    best = offered.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("best"))
-    first_pairs = stages.write(best.select(F.col("node").alias("a"), F.col("best.centre").alias("b")), "pairs")
+    share = (F.col("lone") * 1000 / F.col("n")).cast("int").alias("share")
+    centres = postings.groupBy("signature").agg(F.min(F.struct(share, "node", "n", "last", "lone")).alias("centre"))
+    centres = centres.select("signature", "centre.*").selectExpr("signature", *OTHER)
+    offered = postings.withColumnRenamed("node", "a").join(centres, "signature").where("a <> b").where(LONE_FITS)
+    offered = offered.groupBy(*PAIR).agg(F.count("*").alias("c")).where(COUNT_FITS)
+    best = offered.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best"))
+    first_pairs = stages.write(best.select("a", F.col("best.b").alias("b")), "pairs")
     first_links = checked(first_pairs)
     roots = stages.write(components(first_links, stages), "roots")
 
     # What is left: nodes with common signatures that are still apart.
-    marked = postings.select("signature", "node", "n", "rare").join(roots, "node", "left")
-    marked = marked.withColumn("root", F.coalesce("root", "node"))
+    marked = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = marked.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_rows = stages.write(marked.join(mixed.select("signature"), "signature", "left_semi"), "open")
     stages.drop(postings)
-    other = open_rows.selectExpr("signature", "node as b", "n as m", "rare as other_rare", "root as other_root")
-    apart = open_rows.join(other, "signature").where("node < b and root <> other_root").where(SIZES_FIT)
-    apart = apart.groupBy(F.col("node").alias("a"), "b", "n", "m", "rare", "other_rare").agg(F.count("*").alias("c"))
+    other = open_rows.selectExpr("signature", *OTHER, "root as other_root")
+    apart = open_rows.withColumnRenamed("node", "a").join(other, "signature")
+    apart = apart.where("a < b and root <> other_root").where(LONE_FITS).groupBy(*PAIR).agg(F.count("*").alias("c"))
     done = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stages.write(apart.where(COUNT_FITS).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
     stages.drop(open_rows, first_pairs)
