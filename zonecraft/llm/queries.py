@@ -11,6 +11,7 @@ from zonecraft.llm import (
     mixing,
     neighbours,
     ngram_join,
+    oracles,
     packing,
     quality_ranking,
     quality_rules,
@@ -22,7 +23,10 @@ from zonecraft.llm import (
 from zonecraft.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_suffix_repeats": oracles.SUFFIX_REPEATS,
+    "op5_ngram_join": oracles.NGRAM_JOIN,
+}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
