@@ -16,6 +16,7 @@ from zonecraft.definitions import (
     MGRABASE_COLUMNS,
 )
 from zonecraft.operators import controls, seed
+from zonecraft.session import new_stage_path
 from zonecraft.sources import tables
 
 YEARS = list(range(2022, 2029))
@@ -50,13 +51,20 @@ def zones(spark, sf, year=None):
     return controls.zone_controls(*[keep(standin(spark, sf, name)) for name in FORECAST])
 
 
+def written(spark, sf, name):
+    """A folder that holds the stand-in as a table, as the readers find it."""
+    folder = new_stage_path(spark, "forecast")
+    standin(spark, sf, name).write.parquet(f"{folder}/{name}")
+    return folder
+
+
 def ase_rows(spark, sf):
     return controls.population_controls(standin(spark, sf, "pop_ase_mgra"))
 
 
 @query("s01_read_forecast", f"{ctes('pop_ase_mgra')} select * from pop_ase_mgra where increment = 2022")
 def _(spark, sf):
-    return tables.for_year(standin(spark, sf, "pop_ase_mgra"), 2022)
+    return tables.read_forecast(spark, "pop_ase_mgra", written(spark, sf, "pop_ase_mgra"), 2022)
 
 
 @query(
@@ -64,7 +72,8 @@ def _(spark, sf):
     f"{ctes('hh_characteristics_mgra')} select * from hh_characteristics_mgra where increment in (2022, 2024, 2026)",
 )
 def _(spark, sf):
-    return tables.for_years(standin(spark, sf, "hh_characteristics_mgra"), [2022, 2024, 2026])
+    folder = written(spark, sf, "hh_characteristics_mgra")
+    return tables.read_forecast_years(spark, "hh_characteristics_mgra", folder, [2022, 2024, 2026])
 
 
 @query("a01_conditional_sum", f"{ctes('pop_ase_mgra')}, {ASE} select * from ase")

@@ -8,6 +8,8 @@ from suite.registry import query
 from suite.standins import ctes, standin
 from zonecraft.functions import seed as fn
 from zonecraft.operators import seed
+from zonecraft.session import new_stage_path
+from zonecraft.sources import tables
 
 H = "household_src"
 P = "person_src"
@@ -59,7 +61,9 @@ def seed_pp(spark, sf):
 
 @query("s03_read_microdata", f"{ctes(P)} select SERIALNO, SPORDER, AGEP, SEX, RAC1P from person_src")
 def _(spark, sf):
-    return persons(spark, sf).select("SERIALNO", "SPORDER", "AGEP", "SEX", "RAC1P")
+    path = new_stage_path(spark, "microdata")
+    persons(spark, sf).write.parquet(path)
+    return tables.read_microdata(spark, path, ["SERIALNO", "SPORDER", "AGEP", "SEX", "RAC1P"])
 
 
 @query(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from suite.standins import standin
+from zonecraft import definitions as d
 from zonecraft.functions.report import BENCHMARK, FITTING
 from zonecraft.operators import quality
 from zonecraft.plans import publication, synthesis, validation
@@ -55,8 +56,11 @@ def test_report_covers_all_kinds_of_controls(spark, result):
         of_year(result.controls.zones),
         of_year(result.controls.quarters),
         standin(spark, SF, "geo_cross_walk"),
+        of_year(result.region_summary),
     )
     rows = report.collect()
+    # The region's rows of the zone controls are in the summary too, so every fitted control is reported for the region.
+    assert {c.field for c in d.fitting_controls()} <= {r["Control Field"] for r in rows if r.geography == "region"}
     assert {r.Status for r in rows} == {FITTING, BENCHMARK}
     assert {r.geography for r in rows} == {"mgra", "puma", "region"}
     totals = [r for r in rows if r["Control Field"] == "Total_HH" and r.geography == "mgra"]
@@ -65,9 +69,19 @@ def test_report_covers_all_kinds_of_controls(spark, result):
     assert quarters and all(r.Diff == 0 for r in quarters)
 
 
+def test_region_summary_holds_all_stages(result):
+    rows = {r.control_name: r for r in result.region_summary.where("increment = 2022").collect()}
+    assert set(rows) == {c.target for c in d.fitting_controls()}
+    total = rows["Total_HH"]
+    assert total.mgra_integer_weight == total.control_value == pytest.approx(total.mgra_balanced_weight)
+    assert total.region_preliminary_balanced_weight > 0 and total.region_balanced_weight > 0
+
+
 def test_published_run_is_complete_and_readable(spark, result):
     root = new_stage_path(spark, "lake")
-    tables = publication.run_tables(result, 2022)
+    tables = publication.run_tables(result, 2022, standin(spark, SF, "geo_cross_walk"), standin(spark, SF, "mgrabase_wide"))
+    assert {"controls", "reporting_controls", "benchmark_comparisons", "mgra15_based_input", "final_summary_region_1"} <= set(tables)
+    assert {"final_summary_mgra", "final_summary_mgra_puma"} <= set(tables)
     written = publication.publish_run(spark, tables, root, 2022, "2026-01-02 03:04:05", {"version": "1"}, "b", "me")
     markers = spark.read.schema(publish.MARKER_SCHEMA).parquet(f"{root}/{publish.MARKERS}")
     marker = markers.first()

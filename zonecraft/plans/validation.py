@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecraft import definitions as d
@@ -48,6 +48,32 @@ def gq_comparison(households: DataFrame, quarters: DataFrame) -> DataFrame:
     )
 
 
+def numbered_controls(spark: SparkSession, benchmarks: Sequence[d.Control]) -> DataFrame:
+    controls = [*d.fitting_controls(), *benchmarks]
+    rows = [(n, c.target, c.field) for n, c in enumerate(controls, 1)]
+    return spark.createDataFrame(rows, "control_id long, target string, control_field string")
+
+
+def benchmark_rows(
+    households: DataFrame,
+    persons: DataFrame,
+    zone_controls: DataFrame,
+    crosswalk: DataFrame,
+    region_summary: DataFrame | None = None,
+    benchmarks: Sequence[d.Control] | None = None,
+) -> DataFrame:
+    """Benchmarks of one run and year compared with the finished population."""
+    spark = households.sparkSession
+    extra = list(d.reporting_controls() if benchmarks is None else benchmarks)
+    if region_summary is None:
+        reported = spark.createDataFrame([], "target string")
+    else:
+        reported = region_summary.select(F.col("control_name").alias("target"))
+    members = persons if of_table(extra, "persons") else None
+    ids = numbered_controls(spark, extra)
+    return reporting.benchmark_comparisons(extra, ids, zone_controls, households, members, crosswalk, reported)
+
+
 def control_report(
     households: DataFrame,
     persons: DataFrame,
@@ -61,24 +87,17 @@ def control_report(
 
     ``region_summary``: control_name, control_value and the weighted total per stage, as written by the synthesis.
     """
-    spark = households.sparkSession
     extra = list(d.reporting_controls() if benchmarks is None else benchmarks)
-    controls = [*d.fitting_controls(), *extra]
-    ids = spark.createDataFrame(
-        [(n, c.target, c.field) for n, c in enumerate(controls, 1)], "control_id long, target string, control_field string"
-    )
+    ids = numbered_controls(households.sparkSession, extra)
     parts = [reshape.melt_summary(s) for s in household_summaries(households, persons, zone_controls, crosswalk)]
-    reported = spark.createDataFrame([], "target string")
     if region_summary is not None:
         parts.append(reshape.region_constants(region_summary))
-        reported = region_summary.select(F.col("control_name").alias("target"))
     fitted = reporting.attach_definitions(reporting.stack(parts), ids).select(*ROWS)
-    numbers = reporting.number_gq_runs(quarters, len(controls))
+    numbers = reporting.number_gq_runs(quarters, len(d.fitting_controls()) + len(extra))
     gq = gq_comparison(households, quarters).join(numbers, "synthesis_run").select(*ROWS)
     status = lambda rows: rows.withColumn("Status", F.lit(fn.FITTING))
     compared = [status(fitted), status(gq)]
     if extra:
-        members = persons if of_table(extra, "persons") else None
-        found = reporting.benchmark_comparisons(extra, ids, zone_controls, households, members, crosswalk, reported)
+        found = benchmark_rows(households, persons, zone_controls, crosswalk, region_summary, extra)
         compared.append(found.select(*ROWS, "Status"))
     return reporting.report_table(reporting.stack(compared))
