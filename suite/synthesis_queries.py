@@ -16,9 +16,9 @@ from suite.incidence_queries import (
     incidence_rows,
 )
 from suite.registry import query
-from suite.seed_queries import SEED_HH, H, P, seed_hh
+from suite.seed_queries import SEED_HH, SEED_PP, H, P, seed_hh, seed_pp
 from suite.standins import ctes, standin
-from zonecraft.definitions import GQ_RUNS, MARGINS, RUN_ORDER
+from zonecraft.definitions import GQ_RUNS, MARGINS, PERSON_COLUMNS, RUN_ORDER
 from zonecraft.operators import expand, incidence, raking, subzones
 from zonecraft.operators.raking import Margin
 from zonecraft.plans import synthesis
@@ -381,6 +381,20 @@ def _(spark, sf):
     return expand.household_output(placed)
 
 
+PERSON_OUT = ", ".join(f"p.{c}" for c in PERSON_COLUMNS)
+
+
+@query(
+    "y15_person_output",
+    f"""{ctes(SH, X, H, P)}, {SEED_PP} select household_id, s.mgra, x.PUMA, {PERSON_OUT}
+    from seed_pp p join synthetic_households s on s.SERIALNO = p.SERIALNO join geo_cross_walk x on x.mgra = s.mgra""",
+)
+def _(spark, sf):
+    households = standin(spark, sf, SH).select("SERIALNO", "household_id", "mgra")
+    members = seed_pp(spark, sf).drop("PUMA").join(households, "SERIALNO")
+    return expand.person_output(incidence.with_puma(members, standin(spark, sf, X), "mgra"))
+
+
 # Each run numbers its own households 1..n.
 RUN_IDS = """own as (select synthesis_run, mgra, row_number() over (partition by synthesis_run order by household_id)
   as household_id, SERIALNO from synthetic_households),
