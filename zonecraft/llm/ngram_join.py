@@ -18,7 +18,9 @@ node of a signature with the smallest share of lone shingles: rare ones of its p
 Pairs whose link can be ruled out by counts alone are not compared. They go by the prefix that ends first in the order,
 whose shingles are in the other prefix if they are in the other set: with q lone shingles the sets have at most n - q in
 common, and of a prefix of rare shingles at most n - ceil(4 (n + m) / 9) are missing from the other set. (Sets whose
-prefixes hold all their rare shingles both go first.) The comparison counts common shingles of the whole sets.
+prefixes hold all their rare shingles both go first.) Nodes compared with the same centre know which of its shingles
+they hold, as a bit map of its first ``BITS`` and a count of the others; what both hold of the centre plus what the
+smaller one holds beside it bounds their overlap. The comparison counts common shingles of the whole sets.
 
 Which shingles are frequent only changes costs, never results. Words are compared with A-Z in lower case, as 64-bit
 hashes. NULL and empty texts have no shingles and form a component of their own. Rows that repeat a document id are
@@ -44,6 +46,7 @@ SHINGLE = 5
 FREQUENT = 100_000  # at most so many shingles count as frequent: 1.6 MB, whatever the input
 FREQUENT_FROM = 24  # documents
 COUNTED = 2_000_000  # shingles counted together in a task
+BITS = 256  # shingles of a centre that its neighbours keep a bit map of
 NODES = "doc_id long, n long, node long"
 END = 2**63 - 1  # the place where a prefix ends that holds all rare shingles of its set
 
@@ -190,26 +193,38 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(chosen, "node long, shingles binary", work)
 
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link: 100 * intersection >= 80 * union."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the number of common shingles, whether they link (100 * intersection >= 80 * union), and which
+    of b's shingles a holds: bit maps w0, w1, ... of the first ``BITS`` and the count ``beyond``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            kept = []
-            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "left", "right")), strict=True):
+            common, linked, maps = [], [], []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                together = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((together[1:] == together[:-1]).sum())
-                if 100 * common >= 80 * (len(x) + len(y) - common):
-                    kept.append((a, b))
-            yield {"a": [k[0] for k in kept], "b": [k[1] for k in kept]}
-
-    return map_batches(both, "a long, b long", work)
-
-
+                held = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+                count = int(held.sum())
+                common.append(count)
+                linked.append(100 * count >= 80 * (len(x) + len(y) - count))
+                first = np.zeros(BITS, bool)
+                first[: min(len(y), BITS)] = held[:BITS]
+                maps.append(np.packbits(first).view("<i8"))
+            if not common:
+                continue
+            maps = np.array(maps)
+            words = {f"w{i}": maps[:, i] for i in range(BITS // 64)}
+            seen = np.bitwise_count(maps.view(np.uint64)).sum(1)
+            named = {"a": batch.column(0), "b": batch.column(1), "common": common, "linked": linked}
+            yield named | words | {"beyond": np.array(common) - seen}
+
+    words = ", ".join(f"{w} long" for w in WORDS)
+    return map_batches(both, f"a long, b long, common long, linked boolean, {words}, beyond long", work)
+
+
+WORDS = [f"w{i}" for i in range(BITS // 64)]
 SIZES_FIT = "5 * least(n, m) >= 4 * greatest(n, m)"
 # The least overlap of two sets that link: 4 (n + m) / 9, rounded up.
 OVERLAP = "(4 * (n + m) + 8) div 9"
@@ -217,6 +232,12 @@ LONE_FITS = f"""{SIZES_FIT} and case when last < other_last then n - lone >= {OV
     when other_last < last then m - other_lone >= {OVERLAP}
     when last = {END} then least(n - lone, m - other_lone) >= {OVERLAP}
     else greatest(n - lone, m - other_lone) >= {OVERLAP} end"""
+# ``outside`` counts a node's shingles that are not the centre's, ``beside`` leaves out the lone ones among them, which
+# count for nothing where both prefixes hold all rare shingles.
+CENTRE_FITS = f"""coalesce(centre <> other_centre, true) or least(beyond, other_beyond)
+    + if(last = {END} and other_last = {END}, least(beside, other_beside), least(outside, other_outside))
+    + {' + '.join(f'bit_count({w} & other_{w})' for w in WORDS)} >= {OVERLAP}"""
+PROFILE = ["centre", *WORDS, "beyond", "outside", "beside"]
 # With c common signatures. A prefix that ends among the rare shingles has n // 5 + 1 of them.
 COUNT_FITS = f"""case when last < other_last then c >= n div 5 + 1 - n + {OVERLAP}
     when other_last < last then c >= m div 5 + 1 - m + {OVERLAP} else true end"""
@@ -224,6 +245,10 @@ OTHER = ["node as b", "n as m", "last as other_last", "lone as other_lone"]
 PAIR = ["a", "b", "n", "m", "last", "other_last"]
 
 
+def shared_facts(postings: DataFrame) -> DataFrame:
+    return postings.select("node", "n", "last", "lone").distinct()
+
+
 def link_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -233,12 +258,12 @@ def link_documents(docs: DataFrame) -> DataFrame:
     nodes = described.where("token is null").select("doc_id", "n", "node")
     firsts = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        """The links among the pairs; whole sets are made for these documents only."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """What the comparison of the pairs tells; whole sets are made for these documents only."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = sets_of(plain, ends.join(firsts, "node"))
         sets = stages.write(wanted.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-        found = stages.write(links(pairs, sets), "links")
+        found = stages.write(compare(pairs, sets), "compared")
         stages.drop(sets)
         return found
 
@@ -257,23 +282,39 @@ def link_documents(docs: DataFrame) -> DataFrame:
     centres = centres.select("signature", "centre.*").selectExpr("signature", *OTHER)
     offered = postings.withColumnRenamed("node", "a").join(centres, "signature").where("a <> b").where(LONE_FITS)
     offered = offered.groupBy(*PAIR).agg(F.count("*").alias("c")).where(COUNT_FITS)
-    best = offered.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best"))
-    first_pairs = stages.write(best.select("a", F.col("best.b").alias("b")), "pairs")
-    first_links = checked(first_pairs)
+    best = offered.groupBy("a").agg(F.max(F.struct("c", "b", "other_last")).alias("best"))
+    first_pairs = stages.write(best.select("a", "best.b", F.col("best.other_last").alias("centre_last")), "pairs")
+    first = compared(first_pairs)
+    first_links = first.where("linked").select("a", "b")
     roots = stages.write(components(first_links, stages), "roots")
 
+    # What each node holds of its centre. Lone shingles are not the centre's where both prefixes hold all rare ones.
+    facts = shared_facts(postings)
+    own = first.drop("linked").join(first_pairs, ["a", "b"]).withColumnsRenamed({"a": "node", "b": "centre"})
+    lone_beside = F.when((F.col("last") == END) & (F.col("centre_last") == END), F.col("lone")).otherwise(0)
+    own = own.join(facts, "node").withColumn("outside", F.col("n") - F.col("common"))
+    own = own.withColumn("beside", F.col("outside") - lone_beside)
+    all_bits = [F.lit(-1).cast("long").alias(w) for w in WORDS]
+    itself = own.select("centre").distinct().join(facts.withColumnRenamed("node", "centre"), "centre")
+    beyond = F.greatest(F.col("n") - BITS, F.lit(0)).alias("beyond")
+    none = [F.lit(0).cast("long").alias(c) for c in ("outside", "beside")]
+    itself = itself.select(F.col("centre").alias("node"), "centre", *all_bits, beyond, *none)
+    itself = itself.join(own.select("node"), "node", "left_anti")
+    profiles = stages.write(own.select("node", *PROFILE).unionByName(itself), "profiles")
+
     # What is left: nodes with common signatures that are still apart.
     marked = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    marked = marked.join(profiles, "node", "left")
     mixed = marked.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_rows = stages.write(marked.join(mixed.select("signature"), "signature", "left_semi"), "open")
     stages.drop(postings)
-    other = open_rows.selectExpr("signature", *OTHER, "root as other_root")
+    other = open_rows.selectExpr("signature", *OTHER, "root as other_root", *[f"{c} as other_{c}" for c in PROFILE])
     apart = open_rows.withColumnRenamed("node", "a").join(other, "signature")
-    apart = apart.where("a < b and root <> other_root").where(LONE_FITS).groupBy(*PAIR).agg(F.count("*").alias("c"))
-    done = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    apart = apart.where("a < b and root <> other_root").where(LONE_FITS).where(CENTRE_FITS).groupBy(*PAIR).agg(F.count("*").alias("c"))
+    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stages.write(apart.where(COUNT_FITS).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
     stages.drop(open_rows, first_pairs)
-    more_links = checked(rest)
+    more_links = compared(rest).where("linked").select("a", "b")
 
     joined = components(first_links.unionByName(more_links), stages)
     placed = firsts.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -286,11 +327,11 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; a repeated id stays once, rows without an id once per text."""
-    spark = docs.sparkSession
-    found = Stages(spark, "ngram").write(link_documents(docs), "components")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    """The rows of ``docs`` whose id is their component's. A repeated id stays once; rows without an id, which no id can
+    stand for, stay once per text."""
+    found = Stages(docs.sparkSession, "ngram").write(link_documents(docs), "components")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    joined = docs.join(kept, docs["doc_id"] == kept["_kept"], "left").where("_kept is not null or doc_id is null")
     same = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
     rank = F.row_number().over(Window.partitionBy("doc_id", same).orderBy("text"))
-    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"])).drop("_kept")
-    return chosen.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return joined.drop("_kept").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
