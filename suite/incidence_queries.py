@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.control_queries import ASE
+from suite.control_queries import ASE, FORECAST, ZONES, zones
 from suite.registry import query
 from suite.seed_queries import RACE_SQL, SEED_HH, SEED_PP, H, P, seed_hh, seed_pp
 from suite.standins import ctes, standin
@@ -85,7 +85,7 @@ def _(spark, sf):
     return ops.counts_long(population, ["mgra"], REPORTING)
 
 
-ZONE_TARGETS = ["Total_Pop", "Male", "Female", *d.RACE_CONTROLS]
+ZONE_TARGETS = [c.target for c in FITTING if c.geography == "mgra"]
 
 
 def ase(spark, sf):
@@ -104,13 +104,13 @@ def _(spark, sf):
 
 @query(
     "y03_seed_targets",
-    f"""{ctes('pop_ase_mgra', 'geo_cross_walk')}, {ASE} select PUMA, increment,
+    f"""{ctes(*FORECAST, 'geo_cross_walk')}, {ZONES} select PUMA, increment,
     {', '.join(f'cast(sum({t}) as bigint) as {t}' for t in ZONE_TARGETS)}
-    from ase join geo_cross_walk using (mgra) group by PUMA, increment""",
+    from zones join geo_cross_walk using (mgra) group by PUMA, increment""",
 )
 def _(spark, sf):
     crosswalk = standin(spark, sf, "geo_cross_walk")
-    return ops.puma_targets(ase(spark, sf), crosswalk, ZONE_TARGETS, keep=("increment",))
+    return ops.puma_targets(zones(spark, sf), crosswalk, ZONE_TARGETS, keep=("increment",))
 
 
 @query(

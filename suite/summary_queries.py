@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.incidence_queries import FITTING, INCIDENCE, SIG_CONTROLS, SIG_TARGETS, count_sql, incidence_rows, synthetic_persons
+from suite.incidence_queries import FITTING, INCIDENCE, count_sql, incidence_rows, synthetic_persons
 from suite.registry import query
 from suite.seed_queries import RACE_SQL, H, P
 from suite.standins import ctes, standin
@@ -53,6 +53,7 @@ def _(spark, sf):
     return summaries.as_geography(rolled, "PUMA", TARGETS)
 
 
+EVERY = [c.target for c in FITTING]
 STAGES = {
     "region_preliminary_balanced_weight": "WGTP * 1.25e0",
     "region_balanced_weight": "WGTP * 1.5e0",
@@ -67,11 +68,11 @@ STAGES = {
     f"""{ctes(H, P)}, {INCIDENCE}, s as ({' union all '.join(
         f"select '{t}' as control_name, cast(sum(2 * WGTP * {t}) as bigint) as control_value, "
         + ", ".join(f"round(cast(sum(({e}) * {t}) as double), 4) as {n}" for n, e in STAGES.items())
-        + " from inc_rows" for t in SIG_TARGETS)}) select * from s""",
+        + " from inc_rows" for t in EVERY)}) select * from s""",
 )
 def _(spark, sf):
-    rows = incidence_rows(spark, sf, SIG_CONTROLS).withColumns({n: F.expr(e) for n, e in STAGES.items()})
-    totals = rows.agg(*[F.sum(2 * F.col("WGTP") * F.col(t)).alias(t) for t in SIG_TARGETS])
-    controls = totals.unpivot([], SIG_TARGETS, "control_name", "control_value")
-    summary = summaries.region_summary(rows, controls, SIG_TARGETS, list(STAGES))
+    rows = incidence_rows(spark, sf).withColumns({n: F.expr(e) for n, e in STAGES.items()})
+    totals = rows.agg(*[F.sum(2 * F.col("WGTP") * F.col(t)).alias(t) for t in EVERY])
+    controls = totals.unpivot([], EVERY, "control_name", "control_value")
+    summary = summaries.region_summary(rows, controls, EVERY, list(STAGES))
     return summary.withColumns({n: F.round(F.col(n).cast("double"), 4) for n in STAGES})

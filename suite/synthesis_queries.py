@@ -119,8 +119,8 @@ def _(spark, sf):
 
 # --- regional controls -------------------------------------------------------------------------------------------
 
-META = ["job_1", "job_7", "job_9", "lfp_black", "lfp_hispanic", "lfp_other", "lfp_white"]
-META_CONTROLS = [c for c in FITTING if c.target in META]
+META_CONTROLS = [c for c in FITTING if c.geography == "region"]
+META = [c.target for c in META_CONTROLS]
 META_SQL = f"""placed as (select i.*, 1 + (PUMA - 7301) % 3 as region from inc_rows i),
   seen as (select region, PUMA, target, cast(sum(v) as bigint) as total from (
     {' union all '.join(f"select region, PUMA, '{t}' as target, WGTP * {t} as v from placed" for t in META)}) a
@@ -159,7 +159,8 @@ def _(spark, sf):
 
 
 FINAL_TARGETS = [*SIG_TARGETS, *META]
-FINAL_MARGINS = [Margin(tuple(t for t in META if t.startswith("lfp_")), counts=True), WORKERS, SIZE]
+_jobs, _force = [Margin(tuple(t for t in META if t.startswith(kind)), counts=True) for kind in ("job_", "lfp_")]
+FINAL_MARGINS = [_jobs, _force, WORKERS, SIZE]
 _final_steps, _final_last = sweeps_sql("fst", "PUMA", "ftg", FINAL_MARGINS, 1, 30.0)
 
 
