@@ -25,7 +25,8 @@ from zonecraft.llm.labelled import labelled_sample
 from zonecraft.llm.text_stats import CONTINUES, base_counts
 from zonecraft.llm.words import Words, blocks, mix
 
-TRAINING_ROWS = 4000
+TRAINING_ROWS = 2000
+BLOCK_ROWS = 200  # training rows that are worked on at a time
 CALIBRATION = 5
 BUCKET_BITS = 14
 LEAST_WORDS = 50
@@ -98,10 +99,20 @@ def fit(rows: list) -> np.ndarray | None:
     kept_back = np.arange(len(rows)) % CALIBRATION == 0
     if min(len(set(labels[kept_back])), len(set(labels[~kept_back]))) < 2:
         return None
-    at = np.concatenate([np.frombuffer(r.at, "<i4") for r in rows])
-    share = np.concatenate([np.frombuffer(r.share, "<f4") for r in rows]).astype(float)
-    row = np.repeat(np.arange(len(rows)), [len(r.at) // 4 for r in rows])
+    blocks_of_rows = [packed(rows[i : i + BLOCK_ROWS]) for i in range(0, len(rows), BLOCK_ROWS)]
+    del rows
     size = KINDS << BUCKET_BITS
+
+    def outputs(w: np.ndarray, constant: float) -> np.ndarray:
+        return np.concatenate([np.bincount(row, share * w[at], n) for at, share, row, n in blocks_of_rows]) + constant
+
+    def slopes(error: np.ndarray) -> np.ndarray:
+        total, first = np.zeros(size), 0
+        for at, share, row, n in blocks_of_rows:
+            total += np.bincount(at, share * error[first : first + n][row], size)
+            first += n
+        return total
+
     # Shares as they are: a mark that fills a text weighs more than words that only one text has.
     learn = ~kept_back
     weight = np.where(labels == 1, 0.5 / labels[learn].mean(), 0.5 / (1 - labels[learn].mean())) * learn / learn.sum()
@@ -110,15 +121,21 @@ def fit(rows: list) -> np.ndarray | None:
     for turn in range(1, STEPS + 1):  # gradient descent with Nesterov's momentum
         ahead = (turn - 1) / (turn + 2)
         v, v_constant = w + ahead * (w - last), constant + ahead * (constant - last_constant)
-        error = (sigmoid(np.bincount(row, share * v[at], len(rows)) + v_constant) - labels) * weight
+        error = (sigmoid(outputs(v, v_constant)) - labels) * weight
         last, last_constant = w, constant
-        w = v - step * (np.bincount(at, share * error[row], size) + RIDGE * v)
+        w = v - step * (slopes(error) + RIDGE * v)
         constant = v_constant - step * error.sum()
-    z = np.bincount(row, share * w[at], len(rows)) + constant
-    a, b = platt(z[kept_back], labels[kept_back])
+    a, b = platt(outputs(w, constant)[kept_back], labels[kept_back])
     return np.append(a * w, a * constant + b)
 
 
+def packed(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Buckets, shares and row numbers of some rows' features, and the number of rows."""
+    at = np.concatenate([np.frombuffer(r.at, "<i4") for r in rows])
+    share = np.concatenate([np.frombuffer(r.share, "<f4") for r in rows])
+    return at, share, np.repeat(np.arange(len(rows), dtype=np.int32), [len(r.at) // 4 for r in rows]), len(rows)
+
+
 def platt(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and constant of the logistic curve through (sum, label), with labels drawn in from 0 and 1."""
     positive = labels.sum()
