@@ -35,9 +35,9 @@ FIRST = 12  # nearest that a node keeps from one block
 ROUNDS = 2
 KEPT = 8  # nearest that a node keeps from one meeting
 MEETING = 32  # nodes that point to one node and meet in one block, about
-POOL = 200
-WIDTH = 48
-STEPS = 4
+POOL = 240
+WIDTH = 100
+STEPS = 3
 SEED = 32_452_843
 EDGES = "node long, neighbour long, d float"
 
@@ -186,10 +186,7 @@ def meetings(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     back = graph.select(F.col("neighbour").alias("host"), F.col("node").alias("member"), "new")
     back = back.join(incoming.withColumnRenamed("neighbour", "host"), "host")
     back = back.select("host", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("part"), "member", "new")
-    seats = own.unionByName(back).groupBy("host", "part", "member").agg(F.max("new").alias("new"))
-    # A meeting without a new edge has nothing to tell.
-    seated = seats.withColumn("fresh", F.max("new").over(Window.partitionBy("host", "part"))).where("fresh = 1").drop("fresh")
-    present = seated.join(members, "member").repartition("host", "part").sortWithinPartitions("host", "part")
+    present = own.unionByName(back).join(members, "member").repartition("host", "part").sortWithinPartitions("host", "part")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for table, starts in runs(batches, ["host", "part"]):
@@ -199,12 +196,16 @@ def meetings(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             radius = np.nan_to_num(table.column("radius").to_numpy().astype(np.float32), nan=np.inf)
             found = []
             for a, b in zip(starts[:-1], starts[1:], strict=True):
-                if b - a < 2:
+                # A meeting without a new edge has nothing to tell; a member may come by an edge in either direction.
+                if not new[a:b].any():
                     continue
-                at, d = nearest(matrix[a:b], KEPT, new[a:b, None] | new[None, a:b])
-                better = d < radius[a:b, None]
-                who = np.nonzero(better)[0]
-                found.append((ids[a:b][who], ids[a:b][at[better]], d[better]))
+                order = a + np.lexsort((~new[a:b], ids[a:b]))
+                at = order[np.append(True, ids[order[1:]] != ids[order[:-1]])]
+                if len(at) < 2:
+                    continue
+                near, d = nearest(matrix[at], KEPT, new[at, None] | new[None, at])
+                better = d < radius[at, None]
+                found.append((ids[at][np.nonzero(better)[0]], ids[at][near[better]], d[better]))
             if found:
                 yield {n: np.concatenate(c) for n, c in zip(("node", "neighbour", "d"), zip(*found, strict=True), strict=True)}
 
@@ -243,20 +244,26 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, stages: Stage
     backward = graph.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"))
     ways = stages.write(graph.select("node", "neighbour").unionByName(backward).distinct(), "ways")
     order = Window.partitionBy("query").orderBy("d", "node")
-    waiting = Window.partitionBy("query", "left").orderBy("d", "node")
-    pool = queries.select(F.col("node").alias("query"), "node").distinct()
-    pool = stages.write(pool.select("query", "node", F.lit(0.0).alias("d"), F.lit(False).alias("left")), "pool")
-    for _ in range(STEPS):
+    # The nearest of those not yet left; both windows share one exchange.
+    waiting = Window.partitionBy("query").orderBy("left", "d", "node")
+
+    def trimmed(met: DataFrame) -> DataFrame:
+        kept = met.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= POOL).drop("_rank")
         leaving = ~F.col("left") & (F.row_number().over(waiting) <= WIDTH)
-        marked = stages.write(pool.withColumn("leaving", leaving), "pool")
-        stages.drop(pool)
-        reached = marked.where("leaving").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
-        fresh = reached.distinct().join(marked.select("query", "node"), ["query", "node"], "left_anti")
+        return stages.write(kept.withColumn("leaving", leaving).coalesce(parts), "pool")
+
+    start = queries.select(F.col("node").alias("query"), "node").distinct()
+    # A pool is small beside the tables, so it is kept in files of about 100,000 rows.
+    parts = max(8, queries.count() * POOL // 100_000)
+    pool = trimmed(start.select("query", "node", F.lit(0.0).alias("d"), F.lit(False).alias("left")))
+    for _ in range(STEPS):
+        reached = pool.where("leaving").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
+        fresh = reached.distinct().join(pool.select("query", "node"), ["query", "node"], "left_anti")
         met = distances(fresh, nodes, "<f4").withColumn("left", F.lit(False))
-        kept = marked.select("query", "node", "d", (F.col("left") | F.col("leaving")).alias("left"))
-        every = kept.unionByName(met).withColumn("_rank", F.row_number().over(order))
-        pool = stages.write(every.where(F.col("_rank") <= POOL).drop("_rank"), "pool")
-        stages.drop(marked)
+        before = pool.select("query", "node", "d", (F.col("left") | F.col("leaving")).alias("left"))
+        following = trimmed(before.unionByName(met))
+        stages.drop(pool)
+        pool = following
     return pool.select("query", "node", "d")
 
 
