@@ -108,3 +108,14 @@ def test_rows_of_one_id_do_not_repeat_each_other(spark):
     rows = [(i, text, "", "", 0, "", 0, "", "", "") for i in (3, 3, 8, None)]
     found = suffix_repeats.remove_repeats(frame(spark, rows)).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("3", 0), ("3", 0), ("8", 30), ("None", 30)]
+
+
+def test_rows_of_one_id_are_judged_each_by_their_own_words(spark):
+    """Only one of the rows without an id, and of those of id 5, is a copy; the others lose what they share, no more."""
+    rng = random.Random(6)
+    a, b, c, d, e = (words(rng, 30, 10**6) for _ in range(5))
+    texts = [(1, a), (2, b), (None, a), (None, c), (None, f"{d} {a}"), (5, b), (5, e), (None, c)]
+    rows = [(i, t, "", "", 0, "", 0, "", "", "") for i, t in texts]
+    found = suffix_repeats.remove_repeats(frame(spark, rows)).collect()
+    want = [(1, a), (2, b), (None, ""), (None, c), (None, d), (5, ""), (5, e), (None, c)]
+    assert sorted((str(r.doc_id), r.kept_text) for r in found) == sorted((str(i), t) for i, t in want)

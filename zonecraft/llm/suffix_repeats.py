@@ -16,8 +16,9 @@ of more than one document is a repeat; where such nodes follow each other along
 4. Each document drops the words of its repeated windows.
 
 Words and windows are compared by 64-bit hashes. NULL and empty texts have no words. Documents with a NULL id come
-after all others and do not repeat each other. Rows that share a document id do not repeat each other either. A text of
-fewer words than a window loses nothing. Only ``doc_id`` and ``text`` are read.
+after all others and do not repeat each other. Rows that share a document id do not repeat each other either. The place
+of a row (its id) only orders; a row is known by its place and the hash of its text, so rows of one id are judged each by
+their own words. A text of fewer words than a window loses nothing. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ DEPTHS = (4, 8)
 BUCKETS = 4096
 HEAVY = 4  # times the mean of the buckets
 LAST = 2**63 - 1  # the place of documents without an id
-DESCRIBED = "kind int, place long, content long, value long, n long"
+ROW = ["place", "own"]  # what a row is known by: its place and the hash of its text
+DESCRIBED = "kind int, place long, own long, content long, value long, n long"
 DOCUMENT, ANCHOR, PREFIX = 0, 1, 2
 
 
@@ -65,20 +67,20 @@ def contents(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def describe(docs: DataFrame) -> DataFrame:
     """One pass over the texts: documents with the hash of their content, their anchors, and counts of prefixes."""
 
-    def rows(kind: int, place, content, value, n) -> dict:
-        size = max(len(x) for x in (place, content, value, n) if x is not None)
-        fill = lambda x: np.zeros(size, np.int64) if x is None else x
-        return {"kind": np.full(size, kind), "place": fill(place), "content": fill(content), "value": fill(value), "n": fill(n)}
+    def rows(kind: int, **columns) -> dict:
+        size = max(map(len, columns.values()))
+        fill = lambda name: columns.get(name, np.zeros(size, np.int64))
+        return {"kind": np.full(size, kind), **{name: fill(name) for name in (*ROW, "content", "value", "n")}}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         prefixes = np.zeros((len(DEPTHS), BUCKETS), np.int64)
         for batch in batches:
-            places = batch.column(0).to_numpy()
-            for first, last, words in blocks(batch.column(1)):
+            places, owns = (batch.column(c).to_numpy() for c in (0, 1))
+            for first, last, words in blocks(batch.column(2)):
                 hashes = words.hashes()
                 content = contents(hashes, words.bounds).view(np.int64)
-                own = places[first:last]
-                yield rows(DOCUMENT, own, content, None, words.counts)
+                place, own = places[first:last], owns[first:last]
+                yield rows(DOCUMENT, place=place, own=own, content=content, n=words.counts)
                 value, inside = anchors(hashes, words.bounds)
                 for d, depth in enumerate(DEPTHS):
                     prefix, _ = windows(hashes, words.bounds, depth)
@@ -91,11 +93,12 @@ def describe(docs: DataFrame) -> DataFrame:
                         text.append(np.full(len(distinct), i))
                 if found:
                     text = np.concatenate(text)
-                    yield rows(ANCHOR, own[text], content[text], np.concatenate(found).view(np.int64), None)
+                    anchor = np.concatenate(found).view(np.int64)
+                    yield rows(ANCHOR, place=place[text], own=own[text], content=content[text], value=anchor)
         for d in range(len(DEPTHS)):
-            yield rows(PREFIX, np.full(BUCKETS, d), None, np.arange(BUCKETS), prefixes[d])
+            yield rows(PREFIX, place=np.full(BUCKETS, d), value=np.arange(BUCKETS), n=prefixes[d])
 
-    return map_batches(docs, DESCRIBED, work)
+    return map_batches(docs.select(*ROW, "text"), DESCRIBED, work)
 
 
 def heavy_prefixes(described: DataFrame) -> np.ndarray:
@@ -108,13 +111,13 @@ def heavy_prefixes(described: DataFrame) -> np.ndarray:
 
 
 def suffixes(candidates: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """``depth, route, suffix, place``: the distinct windows of each document whose anchor is in its list."""
+    """``depth, route, suffix, place, own``: the distinct windows of each row whose anchor is in its list."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            places = batch.column(0).to_numpy()
-            lists = batch.column(2)
-            for first, last, words in blocks(batch.column(1)):
+            places, owns = (batch.column(c).to_numpy() for c in (0, 1))
+            lists = batch.column(3)
+            for first, last, words in blocks(batch.column(2)):
                 hashes = words.hashes()
                 value, inside = anchors(hashes, words.bounds)
                 whole, _ = windows(hashes, words.bounds, WINDOW)
@@ -131,21 +134,22 @@ def suffixes(candidates: DataFrame, heavy: np.ndarray) -> DataFrame:
                     text.append(np.full(len(starts), first + i))
                 if not chosen:
                     continue
-                at = np.concatenate(chosen)
+                at, text = np.concatenate(chosen), np.concatenate(text)
                 deep = [heavy[d][(prefix[d][at] % np.uint64(BUCKETS)).astype(np.int64)] for d in range(len(DEPTHS))]
                 route = np.where(deep[0], np.where(deep[1], whole[at], prefix[1][at]), prefix[0][at])
                 yield {
                     "depth": np.where(deep[0], np.where(deep[1], WINDOW, DEPTHS[1]), DEPTHS[0]),
                     "route": route.view(np.int64),
                     "suffix": whole[at].view(np.int64),
-                    "place": places[np.concatenate(text)],
+                    "place": places[text],
+                    "own": owns[text],
                 }
 
-    return map_batches(candidates, "depth int, route long, suffix long, place long", work)
+    return map_batches(candidates, "depth int, route long, suffix long, place long, own long", work)
 
 
 def subtrees(grouped: DataFrame) -> DataFrame:
-    """``place, suffix`` of repeats. Rows come sorted by group, suffix and place: a node's first row is its smallest."""
+    """``place, own, suffix`` of repeats. Rows come sorted by group, suffix and place: a node's first row is its smallest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         node, smallest = None, None
@@ -158,42 +162,42 @@ def subtrees(grouped: DataFrame) -> DataFrame:
             head = np.maximum.accumulate(np.where(opens, np.arange(len(suffix)), -1))
             least = np.where(head < 0, 0 if smallest is None else smallest, place[np.maximum(head, 0)])
             repeat = place > least
-            yield {"place": place[repeat], "suffix": suffix[repeat]}
+            yield {"place": place[repeat], "own": batch.column(2).to_numpy()[repeat], "suffix": suffix[repeat]}
             if len(suffix):
                 node, smallest = suffix[-1], least[-1]
 
-    return map_batches(grouped.select("suffix", "place"), "place long, suffix long", work)
+    return map_batches(grouped.select("suffix", *ROW), "place long, own long, suffix long", work)
 
 
 def repeats(docs: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
-    """Repeated windows per document (``place, suffixes``), and the places of later copies of whole documents."""
+    """Repeated windows per row (``place, own, suffixes``), and the rows that are later copies of whole documents."""
     described = stages.write(describe(docs), "described")
     documents = described.where(F.col("kind") == DOCUMENT).where(F.col("n") >= WINDOW)
     firsts = documents.groupBy("content").agg(F.min("place").alias("first"))
-    copies = documents.join(firsts, "content").where("place > first").select(F.col("place").alias("copy")).distinct()
+    copies = documents.join(firsts, "content").where("place > first").select(*ROW).distinct()
     copies = stages.write(copies, "copies")
 
     anchored = described.where(F.col("kind") == ANCHOR)
     shared = anchored.groupBy("value").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b")
     shared = stages.write(shared.select("value"), "shared")
     lists = (
-        anchored.select("value", "place")
+        anchored.select("value", *ROW)
         .join(shared, "value", "left_semi")
-        .groupBy("place")
+        .groupBy(*ROW)
         .agg(F.collect_set("value").alias("anchors"))  # bounded by the length of a document
-        .join(copies, F.col("place") == F.col("copy"), "left_anti")
+        .join(copies, ROW, "left_anti")
     )
     lists = stages.write(lists, "candidates")
     stages.drop(shared)
 
-    candidates = docs.join(lists, "place").select("place", "text", "anchors")
+    candidates = docs.join(lists, ROW).select(*ROW, "text", "anchors")
     found = stages.write(suffixes(candidates, heavy_prefixes(described)), "suffixes")
     stages.drop(described)
     grouped = found.where(F.col("depth") < WINDOW).repartition("route").sortWithinPartitions("route", "suffix", "place")
     leaves = found.where(F.col("depth") == WINDOW)
     smallest = leaves.groupBy("suffix").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b")
-    hot = leaves.join(smallest, "suffix").where("place > a").select("place", "suffix")
-    marks = subtrees(grouped).unionByName(hot).groupBy("place").agg(F.collect_set("suffix").alias("suffixes"))
+    hot = leaves.join(smallest, "suffix").where("place > a").select(*ROW, "suffix")
+    marks = subtrees(grouped).unionByName(hot).groupBy(*ROW).agg(F.collect_set("suffix").alias("suffixes"))
     marks = stages.write(marks, "marks")
     stages.drop(found)
     return marks, copies
@@ -213,12 +217,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, removed`` (first and end word of each maximal repeat) and ``kept_text``."""
     stages = Stages(docs.sparkSession, "suffixes")
     plain = typed(docs, {"doc_id": "long", "text": "string"})
-    placed = plain.select(F.coalesce("doc_id", F.lit(LAST)).alias("place"), "text")
+    placed = plain.withColumns({"place": F.coalesce("doc_id", F.lit(LAST)), "own": F.xxhash64("text")})
     marks, copies = repeats(placed, stages)
     joined = (
-        plain.withColumn("place", F.coalesce("doc_id", F.lit(LAST)))
-        .join(marks, "place", "left")
-        .join(copies, F.col("place") == F.col("copy"), "left")
+        placed.join(marks, ROW, "left")
+        .join(copies.withColumn("copy", F.lit(True)), ROW, "left")
         .select("doc_id", "text", "suffixes", F.col("copy").isNotNull().alias("copy"))
     )
 
