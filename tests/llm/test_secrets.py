@@ -71,6 +71,22 @@ def test_entropy_and_allow_list(spark):
     assert [k for k, *_ in spans(got[7])] == ["entropy"]
 
 
+def test_an_allowed_part_does_not_excuse_the_rest(spark):
+    rng = random.Random(8)
+    value = KEY + "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(8))
+    key = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW" + value
+    hidden = [f"SAMPLE_KEY={value}", f"/example/{value}", f"dummy-{value}", f"{value}/sample", f"id={value}AAAAAAA{value}", key]
+    hidden += [f"{value[:15]}/{value[15:30]}/{value[30:]}=example", f"0123456789{value}"]
+    open_ = ["/example/some/path/2024/file", "sample/550e8400-e29b-41d4-a716-446655440000", "sample_0123456789/AAAAAAAAAAAAAAAAAAA1"]
+    open_ += [f"example{value}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    texts = [f"see {t} here" for t in [*hidden, *open_]]
+    got = {r.doc_id: spans(r.spans) for r in secrets.secret_report(frame(spark, rows_of(texts))).collect()}
+    assert [got[i] for i in range(len(hidden))] == [[("entropy", "4", str(4 + len(t)))] for t in hidden]
+    assert [got[len(hidden) + i] for i in range(len(open_))] == [[]] * len(open_)
+    clean = secrets.without_secrets(frame(spark, rows_of(texts[: len(hidden)])))
+    assert {r.text for r in clean.collect()} == {"see <secret> here"}
+
+
 def test_redaction(spark):
     docs = frame(spark, rows_of([*TEXTS, None, "", "clean text"]))
     clean = secrets.without_secrets(docs)

@@ -5,8 +5,12 @@ Patterns, each leftmost and not overlapping itself: assignments to password-like
 Entropy. A candidate is a run of at least ``WINDOW`` characters of ``ALPHABET`` that holds a letter and a digit and
 overlaps no pattern. Its class is hex (hex digits only) or mixed. A window of ``WINDOW`` characters slides along it with
 a count per character: with f(c) = c log2 c, taking in a character seen c times adds f(c + 1) - f(c) to a running sum,
-letting one go takes f(c) - f(c - 1) away, and the window's Shannon entropy is log2(WINDOW) - sum / WINDOW. The run is a
-secret if its highest entropy reaches the threshold of its class, unless the allow list knows it.
+letting one go takes f(c) - f(c - 1) away, and the window's Shannon entropy is log2(WINDOW) - sum / WINDOW.
+
+The allow list excuses only what it names. Of a run the segments (letters and digits between other characters) that hold
+a word of ``EXAMPLES`` are left out, then the characters of ``SEQUENCES``. What stands between these is judged part by
+part: a part that is a candidate by itself, is not ``ALLOWED`` as a whole and has a window that reaches the threshold of
+its class makes the whole run a secret. A word that touches a value without a character between excuses it.
 
 Positions are code points from 0, ends exclusive. NULL and empty texts have no spans. Rows are independent of each other;
 ties, repeated rows and NULL ids change nothing, and columns other than ``text`` are passed through or not read.
@@ -32,10 +36,10 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Z+/_=a-z-]*[0-9])(?=[0-9+/_=-]*[A-Za-z]
 # Bits per character that a window of random characters of the class nearly always has and a written name rarely.
 HEX_LEAST = 2.9
 MIXED_LEAST = 3.75
+EXAMPLES = r"(?i)(?<![a-z0-9])[a-z0-9]*?(?:example|sample|dummy|placeholder|changeme|redacted)[a-z0-9]*"
+SEQUENCES = r"(?i)0123456789|abcdefghij(?:klmnopqrstuvwxyz)?|qwertyuiop(?:asdfghjkl(?:zxcvbnm)?)?|(.)\1{5,}"
 ALLOWED = [
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # identifiers of records
-    r"(?i)example|sample|dummy|placeholder|changeme|redacted",
-    r"(?i)0123456789|abcdefghij|qwertyuiop|(.)\1{5}",
     r"^[A-Za-z]*[0-9]{1,4}$|^[0-9]{1,4}[A-Za-z]+$",  # a word with a number
     r"^([A-Za-z]+|[0-9]+)([/_=-]+([A-Za-z]+|[0-9]+))+$",  # paths, names with dashes, dates
 ]
@@ -101,11 +105,20 @@ def highest_entropy(run: Column) -> Column:
 
 
 def is_random(run: Column) -> Column:
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | run.rlike(pattern)
-    least = F.when(run.rlike("^[0-9A-Fa-f]+$"), HEX_LEAST).otherwise(MIXED_LEAST)
-    return F.when(allowed, False).otherwise(highest_entropy(run) >= least)
+    """Whether a part of the run that no allowed word or sequence belongs to is random."""
+    rest = F.regexp_replace(F.regexp_replace(run, EXAMPLES, " "), SEQUENCES, " ")
+
+    def judged(part: Column) -> Column:
+        # Characters that joined the part to what was left out do not keep it from being an allowed name.
+        bare = F.when(part == run, part).otherwise(F.regexp_replace(part, "^[+/_=-]+|[+/_=-]+$", ""))
+        known = F.lit(False)
+        for pattern in ALLOWED:
+            known = known | bare.rlike(pattern)
+        candidate = (F.length(part) >= WINDOW) & part.rlike("[0-9]") & part.rlike("[A-Za-z]")
+        least = F.when(part.rlike("^[0-9A-Fa-f]+$"), HEX_LEAST).otherwise(MIXED_LEAST)
+        return F.when(candidate & ~known, highest_entropy(part) >= least).otherwise(False)
+
+    return F.exists(F.split(rest, " +"), judged)
 
 
 def scan(docs: DataFrame) -> DataFrame:
