@@ -69,6 +69,15 @@ def test_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", "A B C D E F G H"), ("None", ""), ("None", text)]
 
 
+def test_different_texts_of_one_id_are_kept_by_their_own_components(spark):
+    rng = random.Random(7)
+    a, b, c, d = (words(rng, 30, 10**6) for _ in range(4))
+    texts = [(5, a), (5, b), (5, b), (3, c), (5, c), (6, d), (6, d.upper()), (7, ""), (7, a), (8, b)]
+    rows = [(i, t, "", "", 0, "", 0, "", "", "") for i, t in texts]
+    kept = ngram_join.keep_one_per_component(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text.lower()) for r in kept) == sorted([(5, a), (5, b), (3, c), (6, d), (7, "")])
+
+
 def test_empty_table(spark):
     assert ngram_join.link_documents(frame(spark, [])).count() == 0
     assert suffix_repeats.remove_repeats(frame(spark, [])).count() == 0

@@ -75,6 +75,20 @@ def test_null_and_repeated_ids(spark):
     assert mixing.mixed_documents(frame(spark, rows)).count() >= 5
 
 
+def test_rows_without_an_own_id_are_mixed_each_by_itself(spark):
+    """No ids, one id for all, and equal rows: the mix holds as many words of each source as its copies say."""
+    rows = [(None, f"n{i} " * (1 + i % 7), "", "abc"[i % 3], 0, "", 0, "", "", "") for i in range(240)]
+    rows += [(5, f"m{i} " * (1 + i % 5), "", "abc"[i % 3], 0, "", 0, "", "", "") for i in range(60)]
+    rows += [(None, "same text", "", "c", 0, "", 0, "", "", "") for _ in range(30)]
+    found, held = defaultdict(int), defaultdict(int)
+    for r in mixing.mix_sources(frame(spark, rows)).collect():
+        found[r.source] += r.taken
+        assert r.target < 0.9 * r.source_size or r.target > 1.1 * r.source_size
+    for r in mixing.mixed_documents(frame(spark, rows)).collect():
+        held[r.source] += len(brute.split(r.text))
+    assert held == found
+
+
 def test_empty_table(spark):
     assert mixing.mix_sources(frame(spark, [])).count() == 0
     assert mixing.mixed_documents(frame(spark, [])).count() == 0

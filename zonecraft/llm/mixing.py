@@ -13,7 +13,8 @@ agree.
 
 NULL and empty texts have size 0 and count as documents without words: they are copied like the others but take
 nothing. Equal rows have equal random numbers and follow each other; they are taken one by one. Sources without words have
-target 0. An empty table gives no rows. Other columns are kept out of the way by the names used inside.
+target 0. An empty table gives no rows. Other columns are kept out of the way by the names used inside. Where the rows
+themselves are wanted they are numbered and written first: each is repeated by its own number, whatever its id.
 """
 
 from __future__ import annotations
@@ -42,19 +43,20 @@ def sizes(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for first, last, words in blocks(batch.column(3)):
                 own = batch.slice(first, last - first)
-                yield {"doc_id": own.column(0), "source": own.column(1), "draw": own.column(2), "size": words.counts}
+                named = {name: own.column(i) for i, name in enumerate(("doc_id", "source", "draw"))}
+                yield {"row": own.column(4), "size": words.counts} | named
 
     text = F.coalesce("text", F.lit(""))
     draw = F.xxhash64(F.lit(SEED), F.coalesce("source", F.lit("")), F.coalesce("doc_id", F.lit(-1)), text)
     counted = map_batches(
-        docs.select("doc_id", "source", draw.alias("draw"), text.alias("text")),
-        "doc_id long, source string, draw long, size long",
+        docs.select("doc_id", "source", draw.alias("draw"), text.alias("text"), "row"),
+        "doc_id long, source string, draw long, size long, row long",
         work,
     )
     # 53 of the 64 bits, as a number strictly between 0 and 1.
     u = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     return counted.select(
-        F.monotonically_increasing_id().alias("row"),
+        "row",
         "doc_id",
         F.coalesce("source", F.lit(NO_SOURCE)).alias("source"),
         F.col("source").isNotNull().alias("known"),
@@ -98,8 +100,13 @@ def also(chosen: DataFrame, rows: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken``: how often the mix holds each row of ``docs``."""
+    return mix_rows(docs.withColumn("_row", F.monotonically_increasing_id())).drop("row")
+
+
+def mix_rows(docs: DataFrame) -> DataFrame:
+    """What ``mix_sources`` returns and ``row``, the number in column ``_row`` of ``docs``."""
     stages = Stages(docs.sparkSession, "mixing")
-    plain = typed(docs, {"doc_id": "long", "source": "string", "text": "string"})
+    plain = typed(docs, {"doc_id": "long", "source": "string", "text": "string", "_row": "long"}).withColumnRenamed("_row", "row")
     sized = stages.write(sizes(plain), "sizes")
     goals = stages.write(targets(sized), "targets")
     # Sources are few beside documents; the join's strategy is left to the size check.
@@ -131,24 +138,18 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     last = nearest.groupBy("source").agg(F.min(F.struct(miss, "rank", "row")).alias("best")).select(F.col("best.row").alias("row"))
     chosen = also(chosen, last)
 
-    names = ["doc_id", "source", "known", "size", "source_size", "target", "whole", "more"]
+    names = ["row", "doc_id", "source", "known", "size", "source_size", "target", "whole", "more"]
     copies = (F.col("whole") + F.col("more")).alias("copies")
     taken = ((F.col("whole") + F.col("more")) * F.col("size")).alias("taken")
     source = F.when(F.col("known"), F.col("source")).alias("source")
     every = chosen.select(*names).unionByName(settled.select(*names))
-    return every.select("doc_id", source, "size", "source_size", "target", copies, taken)
+    return every.select("row", "doc_id", source, "size", "source_size", "target", copies, taken)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix holds it."""
-    wanted = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies")
-    # Rows that share id and source share the copies of all of them, dealt out evenly below.
-    wanted = wanted.groupBy("_id", "_source").agg(F.sum("copies").alias("_copies"))
-    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & docs["source"].eqNullSafe(wanted["_source"])
-    shared = docs.groupBy("doc_id", "source").agg(F.count("*").alias("_rows")).where("_rows > 1")
-    joined = docs.join(wanted, same).drop("_id", "_source")
-    repeated = shared.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_rows")
-    match = joined["doc_id"].eqNullSafe(repeated["_id"]) & joined["source"].eqNullSafe(repeated["_source"])
-    dealt = joined.join(repeated, match, "left").drop("_id", "_source")
-    times = F.greatest(F.round(F.col("_copies") / F.coalesce("_rows", F.lit(1))), F.lit(1)).cast("int")
-    return dealt.withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = Stages(docs.sparkSession, "mixing").write(numbered, "numbered")
+    wanted = mix_rows(numbered).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").cast("int").alias("_copies"))
+    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return numbered.join(wanted, "_row").withColumn("_time", times).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -47,7 +47,7 @@ FREQUENT = 100_000  # at most so many shingles count as frequent: 1.6 MB, whatev
 FREQUENT_FROM = 24  # documents
 COUNTED = 2_000_000  # shingles counted together in a task
 BITS = 256  # shingles of a centre that its neighbours keep a bit map of
-NODES = "doc_id long, n long, node long"
+NODES = "doc_id long, own long, n long, node long"  # own: the hash of the text, which tells rows of one id apart
 END = 2**63 - 1  # the place where a prefix ends that holds all rare shingles of its set
 
 
@@ -81,7 +81,7 @@ def describe(docs: DataFrame) -> DataFrame:
         tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
         kept = counts >= 3
         n = int(kept.sum())
-        return {"doc_id": pa.nulls(n), "n": counts[kept], "node": pa.nulls(n), "token": tokens[kept].view(np.int64)}
+        return {"doc_id": pa.nulls(n), "own": pa.nulls(n), "n": counts[kept], "node": pa.nulls(n), "token": tokens[kept].view(np.int64)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         waiting, size = [], 0
@@ -90,6 +90,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(words)
                 yield {
                     "doc_id": batch.column(0).slice(first, last - first),
+                    "own": batch.column(2).slice(first, last - first),
                     "n": [len(s) for s in sets],
                     "node": [node_of(s) for s in sets],
                     "token": pa.nulls(len(sets)),
@@ -102,7 +103,7 @@ def describe(docs: DataFrame) -> DataFrame:
         if waiting:
             yield often(waiting)
 
-    return map_batches(docs, NODES + ", token long", work)
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("own")), NODES + ", token long", work)
 
 
 def frequent_shingles(described: DataFrame) -> np.ndarray:
@@ -251,11 +252,16 @@ def shared_facts(postings: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    return linked_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, own, n_shingles, component_id, root`` for every row of ``docs``; rows without shingles have no root."""
     spark = docs.sparkSession
     stages = Stages(spark, "ngram")
     plain = typed(docs, {"doc_id": "long", "text": "string"})
     described = stages.write(describe(plain), "nodes")
-    nodes = described.where("token is null").select("doc_id", "n", "node")
+    nodes = described.where("token is null").select("doc_id", "own", "n", "node")
     firsts = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -320,18 +326,22 @@ def link_documents(docs: DataFrame) -> DataFrame:
     placed = firsts.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = stages.write(placed, "placed")
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component"))
-    component = placed.join(smallest, "root").select("node", "component")
+    component = placed.join(smallest, "root").select("node", "root", "component")
     return nodes.join(component, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "own", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "root"
     )
 
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's. A repeated id stays once; rows without an id, which no id can
-    stand for, stay once per text."""
-    found = Stages(docs.sparkSession, "ngram").write(link_documents(docs), "components")
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    joined = docs.join(kept, docs["doc_id"] == kept["_kept"], "left").where("_kept is not null or doc_id is null")
-    same = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    rank = F.row_number().over(Window.partitionBy("doc_id", same).orderBy("text"))
-    return joined.drop("_kept").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """One row of ``docs`` per component, with the component's id; different texts of one id that do not link are
+    components of their own. Equal rows of one id stay once; rows without an id, which no id can stand for, stay once per
+    text."""
+    found = Stages(docs.sparkSession, "ngram").write(linked_rows(docs), "components").where("doc_id = component_id")
+    linked = found.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "own")).alias("row")).select("row.*")
+    alone = found.where("root is null").select("doc_id", "own").distinct()
+    kept = linked.unionByName(alone).select(F.col("doc_id").alias("_kept"), F.col("own").alias("_kept_own"))
+    marked = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
+    same = (marked["doc_id"] == kept["_kept"]) & (marked["_own"] == kept["_kept_own"])
+    joined = marked.join(kept, same, "left").where("_kept is not null or doc_id is null").drop("_kept", "_kept_own")
+    rank = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("text"))
+    return joined.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_own")
