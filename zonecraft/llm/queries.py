@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecraft.llm import (
+    hard_negatives,
+    inner_products,
     mixing,
     neighbours,
     ngram_join,
@@ -19,6 +21,7 @@ from zonecraft.llm import (
     secrets,
     suffix_repeats,
     token_counts,
+    whitening,
 )
 from zonecraft.llm.common import read_table
 
@@ -88,3 +91,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select("doc_id", *counts, "base_failed", "kept", "probability")
+
+
+@query
+def op11_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), count=8)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), every=100, label=noisy)
