@@ -1,7 +1,9 @@
 """Imports every module that registers queries."""
 
 from suite import (  # noqa: F401
+    benchmark_queries,
     control_queries,
+    fitting_queries,
     incidence_queries,
     publish_queries,
     quality_queries,

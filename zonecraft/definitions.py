@@ -152,6 +152,28 @@ def fitting_controls() -> list[Control]:
     return household + person
 
 
+GEOGRAPHIES = ("mgra", "PUMA", "region")
+SEED_TABLES = ("households", "persons")
+
+
+def checked_controls(controls: list[Control]) -> list[Control]:
+    """The same controls; a target that stands twice, an unknown geography, table or population, or an importance that is
+    not positive raises."""
+    seen: set[str] = set()
+    for c in controls:
+        if c.target in seen:
+            raise ValueError(f"target {c.target} is defined twice")
+        seen.add(c.target)
+        for kind, value, known in (("geography", c.geography, GEOGRAPHIES), ("seed table", c.seed_table, SEED_TABLES)):
+            if value not in known:
+                raise ValueError(f"target {c.target} has the {kind} {value!r}, which is none of {', '.join(known)}")
+        if c.population is not None and c.population not in SEED_TABLES:
+            raise ValueError(f"target {c.target} counts the population {c.population!r}")
+        if c.importance is not None and c.importance <= 0:
+            raise ValueError(f"target {c.target} has the importance {c.importance}")
+    return controls
+
+
 def reporting_controls() -> list[Control]:
     """Compared with the result but not fitted to."""
     return [
@@ -168,7 +190,7 @@ def gq_controls() -> dict[str, Control]:
     }
 
 
-# Mutually exclusive categories that are raked together, in ascending importance.
+# Mutually exclusive categories, in ascending importance.
 MARGINS = {
     "income": [name for name, _, _ in INCOME_BANDS],
     "workers": ["HHWork_0", "HHWork_1", "HHWork_2", "HHWork_3Plus"],

@@ -51,6 +51,11 @@ def with_puma(rows: DataFrame, crosswalk: DataFrame, zone: str = "id") -> DataFr
     return rows.join(lookup.withColumnRenamed("mgra", zone), zone, "left").withColumn("PUMA", puma)
 
 
+def targets_of(totals: DataFrame, controls: Sequence[Control], keep: Sequence[str]) -> DataFrame:
+    """A table of totals with one column per target, taken from the field that the control names."""
+    return totals.select(*keep, *[F.col(c.field).cast("double").alias(c.target) for c in controls])
+
+
 def puma_targets(controls: DataFrame, crosswalk: DataFrame, targets: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Targets per PUMA implied by the zone controls."""
     placed = with_puma(controls, crosswalk, "mgra")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +16,19 @@ from zonecraft.plans.synthesis import YEAR, Result
 from zonecraft.sources import publish as sinks
 
 
-def definition_tables(spark: SparkSession) -> dict[str, DataFrame]:
+def definition_tables(spark: SparkSession, controls: Sequence[d.Control] | None = None) -> dict[str, DataFrame]:
     """Control definitions of every run, and those that are compared without being fitted."""
-    runs = {"household": d.fitting_controls()} | {run: [control] for run, control in d.gq_controls().items()}
+    runs = {"household": d.fitting_controls() if controls is None else list(controls)} | {run: [control] for run, control in d.gq_controls().items()}
     frames = [sinks.controls_table(d.definitions_frame(spark, controls), run) for run, controls in runs.items()]
     return {"controls": stack(frames), "reporting_controls": d.definitions_frame(spark, d.reporting_controls())}
 
 
 def run_tables(
-    result: Result, year: int, crosswalk: DataFrame | None = None, mgrabase: DataFrame | None = None
+    result: Result,
+    year: int,
+    crosswalk: DataFrame | None = None,
+    mgrabase: DataFrame | None = None,
+    controls: Sequence[d.Control] | None = None,
 ) -> dict[str, DataFrame]:
     """Tables of one year, by lake name. Seeds do not depend on the year and are published with every run. Summaries and
     benchmarks need the crosswalk, the land-use table its source."""
@@ -40,11 +44,13 @@ def run_tables(
         "seed_households": sinks.text_codes(result.seeds.households),
         "seed_persons": sinks.text_codes(result.seeds.persons),
         "final_summary_region_1": region,
-        **definition_tables(households.sparkSession),
+        **definition_tables(households.sparkSession, controls),
     }
     if crosswalk is not None:
-        by_zone, by_puma = validation.household_summaries(households, persons, zones, crosswalk)
-        benchmarks = validation.benchmark_rows(households, persons, zones, crosswalk, region)
+        by_zone, by_puma = validation.household_summaries(households, persons, zones, crosswalk, controls)
+        benchmarks = validation.benchmark_rows(
+            households, persons, zones, crosswalk, region, controls=controls, region_controls=of_year(result.controls.region)
+        )
         tables |= {
             "final_summary_mgra": by_zone,
             "final_summary_mgra_puma": by_puma,

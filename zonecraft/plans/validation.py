@@ -16,20 +16,25 @@ from zonecraft.session import stage
 ROWS = ["control_id", "control_field", "geography", "id", "control_value", "result"]
 
 
-def fitted_controls() -> list[d.Control]:
-    return [c for c in d.fitting_controls() if c.geography == "mgra"]
+def fitted_controls(controls: Sequence[d.Control] | None = None) -> list[d.Control]:
+    return [c for c in (d.fitting_controls() if controls is None else controls) if c.geography == "mgra"]
 
 
 def household_summaries(
-    households: DataFrame, persons: DataFrame, zone_controls: DataFrame, crosswalk: DataFrame
+    households: DataFrame,
+    persons: DataFrame,
+    zone_controls: DataFrame,
+    crosswalk: DataFrame,
+    controls: Sequence[d.Control] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Zone and PUMA summaries of the household run: control, result and difference per target."""
-    controls = fitted_controls()
-    targets = [c.target for c in controls]
+    """Zone and PUMA summaries of the household run: control, result and difference per target of ``controls``."""
+    chosen = fitted_controls(controls)
+    targets = [c.target for c in chosen]
     # Every record stands for itself here, so the total counts records whatever their seed weight was.
     counted = households.where("gq_type = 0").withColumn("WGTP", F.lit(1.0))
     members = reporting.person_population(persons, households)
-    zones = stage(summaries.zone_summary(counted, members, zone_controls, controls, ["mgra"]), "zone-summary")
+    totals = zone_controls.select("mgra", *[F.col(c.field).alias(c.target) for c in chosen])
+    zones = stage(summaries.zone_summary(counted, members, totals, chosen, ["mgra"]), "zone-summary")
     pumas = summaries.roll_up(zones, crosswalk, targets)
     return summaries.as_geography(zones, "mgra", targets), summaries.as_geography(pumas, "PUMA", targets)
 
@@ -48,10 +53,37 @@ def gq_comparison(households: DataFrame, quarters: DataFrame) -> DataFrame:
     )
 
 
-def numbered_controls(spark: SparkSession, benchmarks: Sequence[d.Control]) -> DataFrame:
-    controls = [*d.fitting_controls(), *benchmarks]
-    rows = [(n, c.target, c.field) for n, c in enumerate(controls, 1)]
-    return spark.createDataFrame(rows, "control_id long, target string, control_field string")
+def definition_lines(
+    spark: SparkSession, controls: Sequence[d.Control], benchmarks: Sequence[d.Control], archived: DataFrame | None = None
+) -> DataFrame:
+    """Lines of the definitions of one run as ``resolve_definitions`` takes them: current ones, and those archived with it.
+
+    ``archived``: target, control_field and kind (0 fitting, 1 reporting) in their file order ``ordinal``.
+    """
+    lines = []
+    for kind, own in enumerate((controls, benchmarks)):
+        lines += [("run", c.target, c.field, kind, n, 1) for n, c in enumerate(own, 1)]
+    schema = "run string, target string, control_field string, kind int, ordinal long, priority int"
+    current = spark.createDataFrame(lines, schema)
+    if archived is None:
+        return current
+    old = archived.select(
+        F.lit("run").alias("run"),
+        "target",
+        F.coalesce("control_field", "target").alias("control_field"),
+        F.col("kind").cast("int").alias("kind"),
+        F.col("ordinal").cast("long").alias("ordinal"),
+        F.lit(0).alias("priority"),
+    )
+    return current.unionByName(old)
+
+
+def run_definitions(
+    spark: SparkSession, controls: Sequence[d.Control], benchmarks: Sequence[d.Control], archived: DataFrame | None = None
+) -> DataFrame:
+    """``control_id, target, control_field, kind, ordinal`` of one run: archived lines before current ones, fitted controls
+    before benchmarks, the first line of a target counts."""
+    return stage(reporting.resolve_definitions(definition_lines(spark, controls, benchmarks, archived)), "definitions")
 
 
 def benchmark_rows(
@@ -61,17 +93,23 @@ def benchmark_rows(
     crosswalk: DataFrame,
     region_summary: DataFrame | None = None,
     benchmarks: Sequence[d.Control] | None = None,
+    controls: Sequence[d.Control] | None = None,
+    region_controls: DataFrame | None = None,
+    definitions: DataFrame | None = None,
 ) -> DataFrame:
-    """Benchmarks of one run and year compared with the finished population."""
+    """Benchmarks of one run and year compared with the finished population, each at its own geography."""
     spark = households.sparkSession
     extra = list(d.reporting_controls() if benchmarks is None else benchmarks)
+    fitted = d.fitting_controls() if controls is None else list(controls)
     if region_summary is None:
         reported = spark.createDataFrame([], "target string")
     else:
         reported = region_summary.select(F.col("control_name").alias("target"))
     members = persons if of_table(extra, "persons") else None
-    ids = numbered_controls(spark, extra)
-    return reporting.benchmark_comparisons(extra, ids, zone_controls, households, members, crosswalk, reported)
+    ids = run_definitions(spark, fitted, extra) if definitions is None else definitions
+    return reporting.benchmark_comparisons(
+        extra, ids, zone_controls, households, members, crosswalk, reported, region_controls
+    )
 
 
 def control_report(
@@ -82,22 +120,32 @@ def control_report(
     crosswalk: DataFrame,
     region_summary: DataFrame | None = None,
     benchmarks: Sequence[d.Control] | None = None,
+    controls: Sequence[d.Control] | None = None,
+    region_controls: DataFrame | None = None,
+    archived: DataFrame | None = None,
 ) -> DataFrame:
     """Report table of one run and year: household, regional and group-quarters controls, and benchmarks.
 
     ``region_summary``: control_name, control_value and the weighted total per stage, as written by the synthesis.
+    ``controls`` are the fitted definitions (the published set by default); ``archived`` are definition lines kept with the
+    run, which decide its control numbers before the current ones.
     """
+    spark = households.sparkSession
     extra = list(d.reporting_controls() if benchmarks is None else benchmarks)
-    ids = numbered_controls(households.sparkSession, extra)
-    parts = [reshape.melt_summary(s) for s in household_summaries(households, persons, zone_controls, crosswalk)]
+    fitted_set = d.fitting_controls() if controls is None else list(controls)
+    ids = run_definitions(spark, fitted_set, extra, archived)
+    by_area = household_summaries(households, persons, zone_controls, crosswalk, fitted_set)
+    parts = [reshape.melt_summary(s) for s in by_area]
     if region_summary is not None:
         parts.append(reshape.region_constants(region_summary))
     fitted = reporting.attach_definitions(reporting.stack(parts), ids).select(*ROWS)
-    numbers = reporting.number_gq_runs(quarters, len(d.fitting_controls()) + len(extra))
+    numbers = reporting.number_gq_runs(quarters, ids.agg(F.max("control_id")).first()[0] or 0)
     gq = gq_comparison(households, quarters).join(numbers, "synthesis_run").select(*ROWS)
     status = lambda rows: rows.withColumn("Status", F.lit(fn.FITTING))
     compared = [status(fitted), status(gq)]
     if extra:
-        found = benchmark_rows(households, persons, zone_controls, crosswalk, region_summary, extra)
+        found = benchmark_rows(
+            households, persons, zone_controls, crosswalk, region_summary, extra, fitted_set, region_controls, ids
+        )
         compared.append(found.select(*ROWS, "Status"))
     return reporting.report_table(reporting.stack(compared))

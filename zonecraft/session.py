@@ -58,4 +58,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stage_path = path
+    return table
+
+
+def drop_stage(table: DataFrame) -> None:
+    """Delete a staged table that no later step reads."""
+    spark = table.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(table.stage_path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

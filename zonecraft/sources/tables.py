@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecraft.definitions import Control
+from zonecraft.conditions import BadCondition, to_sql
+from zonecraft.definitions import Control, checked_controls
 
 
 def open_table(spark: SparkSession, source: str) -> DataFrame:
@@ -73,11 +74,31 @@ def pin_types(schema: T.StructType, text: Iterable[str] = (), measures: Iterable
 def read_controls(spark: SparkSession, path: str) -> list[Control]:
     """Control definitions from a CSV of a user's own: a configuration file of some dozens of lines, so it is read whole.
 
-    Columns target, geography, seed_table and predicate (a Spark SQL condition over that table) are needed; importance,
-    control_field and population may be empty.
+    Columns target, geography and seed_table are needed, and either expression (a condition over data frames, such as
+    ``(households.NP >= 4) & (households.WGTP < np.inf)``) or predicate (Spark SQL over that table); importance, control_field
+    and population may be empty or missing.
     """
-    text = "target string, geography string, seed_table string, importance long, control_field string, population string, predicate string"
-    rows = spark.read.csv(path, schema=text, header=True, mode="FAILFAST", enforceSchema=False).collect()
-    return [
-        Control(r.target, r.geography, r.seed_table, r.importance, r.predicate, r.control_field, r.population) for r in rows
-    ]
+    rows = [r.asDict() for r in spark.read.csv(path, header=True, mode="FAILFAST").collect()]
+    found = []
+    for n, row in enumerate(rows, 2):
+        missing = [c for c in ("target", "geography", "seed_table") if not row.get(c)]
+        if missing or not (row.get("expression") or row.get("predicate")):
+            raise ValueError(f"{path}, line {n}: no {', '.join(missing) or 'expression or predicate'}")
+        text = row.get("expression")
+        try:
+            predicate = to_sql(text, row["seed_table"]) if text else row["predicate"]
+        except BadCondition as error:
+            raise ValueError(f"{path}, line {n}, target {row['target']}: {error}") from error
+        importance = row.get("importance")
+        found.append(
+            Control(
+                row["target"],
+                row["geography"],
+                row["seed_table"],
+                int(float(importance)) if importance else None,
+                predicate,
+                row.get("control_field"),
+                row.get("population"),
+            )
+        )
+    return checked_controls(found)
