@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.fixtures import document_rows, edited, frame, words
@@ -66,7 +67,30 @@ def test_null_and_repeated_ids(spark):
     assert pairs == [("2", "2"), ("4", "2"), ("4", "2"), ("None", "2"), ("None", "None")]
     kept = ngram_join.keep_one_per_component(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns
-    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", "A B C D E F G H"), ("None", ""), ("None", text)]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", "A B C D E F G H"), ("None", "")]
+
+
+def test_rows_without_an_id_go_with_their_component(spark):
+    """Near copies without an id of a kept document go; of a component without ids one row stays; ids cost no more than none."""
+    rng = random.Random(11)
+    base, other = words(rng, 60), words(rng, 60)
+    texts = [(9, base), (None, edited(rng, base, 1)), (None, base), (None, base), (None, other), (None, edited(rng, other, 1)), (None, other)]
+    rows = [(i, t, "", "", 0, "", 0, "", "", "") for i, t in texts]
+    kept = ngram_join.keep_one_per_component(frame(spark, rows)).collect()
+    assert [r.text for r in kept if r.doc_id == 9] == [base] and len(kept) == 2
+
+
+def test_sets_of_rows_without_an_id_are_made_once(spark):
+    """1,500 near copies without an id: each wanted set is found by id and text, not by all pairs of rows."""
+    rng = random.Random(12)
+    base = words(rng, 80)
+    rows = [(None, edited(rng, base, 2), "", "", 0, "", 0, "", "", "") for _ in range(1500)]
+    docs = frame(spark, rows).select(F.col("doc_id"), "text")
+    marked = docs.withColumn("own", F.xxhash64("text")).withColumn("node", F.monotonically_increasing_id())
+    plan = ngram_join.sets_of(docs, marked.select("node", "doc_id", "own"))
+    assert plan.count() == 0  # nodes of other names than the sets' own: every row met, none kept
+    joined = docs.withColumn("own", F.xxhash64("text")).join(marked.select("own"), "own").count()
+    assert joined < 1600
 
 
 def test_different_texts_of_one_id_are_kept_by_their_own_components(spark):

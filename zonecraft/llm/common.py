@@ -54,6 +54,17 @@ def typed(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row in one column ``doc``, so that no name used beside it can clash with the caller's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
+def from_rows(rows: DataFrame, columns: list[str], changed: dict | None = None) -> DataFrame:
+    """The caller's columns again, those in ``changed`` with a new value."""
+    changed = changed or {}
+    return rows.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in columns])
+
+
 def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` where ``work`` yields dictionaries of columns instead of record batches."""
     fields = df.sparkSession.createDataFrame([], schema).schema

@@ -13,8 +13,8 @@ agree.
 
 NULL and empty texts have size 0 and count as documents without words: they are copied like the others but take
 nothing. Equal rows have equal random numbers and follow each other; they are taken one by one. Sources without words have
-target 0. An empty table gives no rows. Other columns are kept out of the way by the names used inside. Where the rows
-themselves are wanted they are numbered and written first: each is repeated by its own number, whatever its id.
+target 0. An empty table gives no rows. Where the rows themselves are wanted, with all columns, whatever their names, they
+are numbered and written first: each is repeated by its own number, whatever its id.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecraft.llm.common import Stages, map_batches, typed
+from zonecraft.llm.common import Stages, as_rows, from_rows, map_batches, typed
 from zonecraft.llm.words import blocks
 from zonecraft.operators.running import number_rows, running_total
 
@@ -100,13 +100,13 @@ def also(chosen: DataFrame, rows: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken``: how often the mix holds each row of ``docs``."""
-    return mix_rows(docs.withColumn("_row", F.monotonically_increasing_id())).drop("row")
+    plain = typed(docs, {"doc_id": "long", "source": "string", "text": "string"})
+    return mix_rows(plain.withColumn("row", F.monotonically_increasing_id())).drop("row")
 
 
-def mix_rows(docs: DataFrame) -> DataFrame:
-    """What ``mix_sources`` returns and ``row``, the number in column ``_row`` of ``docs``."""
-    stages = Stages(docs.sparkSession, "mixing")
-    plain = typed(docs, {"doc_id": "long", "source": "string", "text": "string", "_row": "long"}).withColumnRenamed("_row", "row")
+def mix_rows(plain: DataFrame) -> DataFrame:
+    """What ``mix_sources`` returns and ``row``; ``plain`` has ``doc_id, source, text, row``."""
+    stages = Stages(plain.sparkSession, "mixing")
     sized = stages.write(sizes(plain), "sizes")
     goals = stages.write(targets(sized), "targets")
     # Sources are few beside documents; the join's strategy is left to the size check.
@@ -148,8 +148,10 @@ def mix_rows(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix holds it."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = as_rows(docs).withColumn("row", F.monotonically_increasing_id())
     numbered = Stages(docs.sparkSession, "mixing").write(numbered, "numbered")
-    wanted = mix_rows(numbered).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").cast("int").alias("_copies"))
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return numbered.join(wanted, "_row").withColumn("_time", times).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kinds = {"doc_id": "long", "source": "string", "text": "string"}
+    plain = numbered.select("row", *[F.col("doc").getField(c).cast(kind).alias(c) for c, kind in kinds.items()])
+    wanted = mix_rows(plain).where("copies > 0").select("row", F.col("copies").cast("int").alias("copies"))
+    repeated = numbered.join(wanted, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return from_rows(repeated, docs.columns)

@@ -38,7 +38,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecraft.llm.common import Stages, map_batches, typed
+from zonecraft.llm.common import Stages, as_rows, from_rows, map_batches, typed
 from zonecraft.llm.components import components
 from zonecraft.llm.words import Words, blocks, mix, windows
 
@@ -179,15 +179,18 @@ def signatures(docs: DataFrame, frequent: Broadcast) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, shingles`` (8 bytes each, sorted) of the nodes in ``wanted`` (node, doc_id)."""
-    keys = wanted.withColumnRenamed("doc_id", "_id")
-    chosen = docs.join(keys, docs["doc_id"].eqNullSafe(keys["_id"])).select("node", "text")
+    """``node, shingles`` (8 bytes each, sorted) of the nodes in ``wanted`` (node, doc_id, own): a row is found by its id
+    and the hash of its text, so rows of one id or without one cost no more than others."""
+    keys = wanted.withColumnsRenamed({"doc_id": "_id", "own": "_own"})
+    marked = docs.withColumn("own", F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(keys["_id"]) & (marked["own"] == keys["_own"])
+    chosen = marked.join(keys, same).select("node", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for first, last, words in blocks(batch.column(1)):
                 asked = batch.column(0).slice(first, last - first).to_pylist()
-                # An id may stand on several rows: only the row with the node's own set counts.
+                # Texts of one hash are all but certainly equal; the node's own set decides.
                 pairs = [(a, s) for a, s in zip(asked, shingle_sets(words), strict=True) if node_of(s) == a]
                 yield {"node": [a for a, _ in pairs], "shingles": [s.tobytes() for _, s in pairs]}
 
@@ -262,7 +265,9 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     plain = typed(docs, {"doc_id": "long", "text": "string"})
     described = stages.write(describe(plain), "nodes")
     nodes = described.where("token is null").select("doc_id", "own", "n", "node")
-    firsts = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # A copy with an id stands for a node where there is one.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first")
+    firsts = nodes.where("node is not null").groupBy("node").agg(first).select("node", "first.doc_id", "first.own")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """What the comparison of the pairs tells; whole sets are made for these documents only."""
@@ -333,15 +338,19 @@ def linked_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per component, with the component's id; different texts of one id that do not link are
-    components of their own. Equal rows of one id stay once; rows without an id, which no id can stand for, stay once per
-    text."""
-    found = Stages(docs.sparkSession, "ngram").write(linked_rows(docs), "components").where("doc_id = component_id")
-    linked = found.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "own")).alias("row")).select("row.*")
+    """One row of ``docs`` per component: the one with the component's id, or one without an id where none has one.
+
+    Different texts of one id that do not link are components of their own. Rows without shingles link with nothing; equal
+    ones of one id, or without one, stay once.
+    """
+    found = Stages(docs.sparkSession, "ngram").write(linked_rows(docs), "components")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("row")
+    linked = found.where("root is not null").groupBy("root").agg(smallest).select("row.doc_id", "row.own")
     alone = found.where("root is null").select("doc_id", "own").distinct()
-    kept = linked.unionByName(alone).select(F.col("doc_id").alias("_kept"), F.col("own").alias("_kept_own"))
-    marked = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
-    same = (marked["doc_id"] == kept["_kept"]) & (marked["_own"] == kept["_kept_own"])
-    joined = marked.join(kept, same, "left").where("_kept is not null or doc_id is null").drop("_kept", "_kept_own")
-    rank = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("text"))
-    return joined.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_own")
+    kept = linked.unionByName(alone)
+    text = F.col("doc").getField("text").cast("string")
+    rows = as_rows(docs).withColumns({"id": F.col("doc").getField("doc_id").cast("long"), "hash": F.xxhash64(text), "text": text})
+    chosen = rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]) & (rows["hash"] == kept["own"]), "left_semi")
+    # Equal rows: Spark drops all but one of a task's before it shuffles them.
+    rank = F.row_number().over(Window.partitionBy("id", "hash").orderBy("text"))
+    return from_rows(chosen.withColumn("rank", rank).where("rank = 1"), docs.columns)

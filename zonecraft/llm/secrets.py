@@ -2,8 +2,9 @@
 
 Patterns, each leftmost and not overlapping itself: assignments to password-like names, access keys, long hex runs.
 
-Entropy. A candidate is a run of at least ``WINDOW`` characters of ``ALPHABET`` that holds a letter and a digit and
-overlaps no pattern. Its class is hex (hex digits only) or mixed. A window of ``WINDOW`` characters slides along it with
+Entropy. A candidate is a run of at least ``WINDOW`` characters of ``ALPHABET`` that holds a letter and a digit; of a run
+that a pattern's span touches, the parts that no span covers are candidates by themselves. Its class is hex (hex digits
+only) or mixed. A window of ``WINDOW`` characters slides along it with
 a count per character: with f(c) = c log2 c, taking in a character seen c times adds f(c + 1) - f(c) to a running sum,
 letting one go takes f(c) - f(c - 1) away, and the window's Shannon entropy is log2(WINDOW) - sum / WINDOW.
 
@@ -23,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonecraft.llm.common import as_rows, from_rows
+
 # The patterns to find.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -45,8 +48,12 @@ ALLOWED = [
 ]
 
 
-def found_spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0) -> Column:
-    """Spans of the pattern's matches that ``keep`` (on the match's group) accepts: start, kind, end."""
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+RUNS = "array<struct<start:int,kind:int,end:int,run:string>>"
+
+
+def found_spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0, runs: bool = False) -> Column:
+    """Spans of the pattern's matches that ``keep`` (on the match's group) accepts: start, kind, end, with ``runs`` the match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
@@ -54,20 +61,20 @@ def found_spans(text: Column, pattern: str, kind: int, keep=None, group: int = 0
     # One row more than matches: what follows the last one.
     start = F.struct(
         F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("spans"),
+        F.array().cast(RUNS if runs else SPANS).alias("spans"),
     )
 
     def step(state: Column, row: Column) -> Column:
         first = state["at"] + row["gap"]
         end = first + F.length(row["match"])
-        span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        own = [row["match"].alias("run")] if runs else []
+        span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), *own)
         accepted = row["match"].isNotNull() & (keep(row["part"]) if keep else F.lit(True))
         spans = F.when(accepted, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(F.coalesce(end, first).alias("at"), spans.alias("spans"))
 
     spans = F.aggregate(rows, start, step, lambda state: state["spans"])
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(RUNS if runs else SPANS))
 
 
 def weigh(count: Column) -> Column:
@@ -121,20 +128,41 @@ def is_random(run: Column) -> Column:
     return F.exists(F.split(rest, " +"), judged)
 
 
+def uncovered(run: Column, base: Column) -> Column:
+    """The parts of a run that no base span covers: all of it, or what lies before, between and after the spans."""
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def part(first: Column, end: Column) -> Column:
+        own = F.substr(run["run"], first - run["start"] + 1, F.greatest(end - first, F.lit(0)))
+        return F.struct(first.alias("start"), F.lit(3).alias("kind"), end.alias("end"), own.alias("run"))
+
+    def between(i: Column) -> Column:
+        # Spans are sorted by their start; one may end after the next.
+        first = F.array_max(F.transform(F.slice(over, 1, i), lambda b: b["end"]))
+        first = F.greatest(F.coalesce(first, run["start"]), run["start"])
+        return part(first, F.coalesce(F.get(over, i)["start"], run["end"]))
+
+    return F.when(F.size(over) == 0, F.array(run)).otherwise(F.transform(F.sequence(F.lit(0), F.size(over)), between))
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_base`` and ``_spans``: arrays of (start, kind, end), sorted; kinds are places in ``KINDS``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.withColumns(
+    """``doc`` (the caller's row), ``text`` (NULL: empty), the base spans by kind, ``base`` and ``spans``: arrays of
+    (start, kind, end), sorted; kinds are places in ``KINDS``."""
+    text = F.coalesce(F.col("doc").getField("text").cast("string"), F.lit(""))
+    found = as_rows(docs).withColumn("text", text).withColumns(
         {
-            "_assign": found_spans(text, ASSIGN, 0, lambda v: F.length(v) >= ASSIGN_LEAST, group=1),
-            "_access": F.when(text.contains("AKIA"), found_spans(text, ACCESS, 1)).otherwise(F.array()),
-            "_hex": found_spans(text, HEX, 2),
-            "_random": found_spans(text, CANDIDATE, 3, is_random),
+            "assign": found_spans(F.col("text"), ASSIGN, 0, lambda v: F.length(v) >= ASSIGN_LEAST, group=1),
+            "access": F.when(F.col("text").contains("AKIA"), found_spans(F.col("text"), ACCESS, 1)).otherwise(F.array()),
+            "hex": found_spans(F.col("text"), HEX, 2),
+            "runs": found_spans(F.col("text"), CANDIDATE, 3, runs=True),
         }
     )
-    based = found.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
-    own = F.filter("_random", lambda r: ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return based.withColumn("_spans", F.array_sort(F.concat("_base", own)))
+    based = found.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
+    parts = F.flatten(F.transform("runs", lambda r: uncovered(r, F.col("base"))))
+    random = F.filter(parts, lambda p: is_random(p["run"]))
+    random = F.transform(random, lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end")))
+    random = F.when(F.size("runs") > 0, random).otherwise(F.array().cast(SPANS))
+    return based.withColumn("spans", F.array_sort(F.concat("base", random)))
 
 
 def written(spans: Column) -> Column:
@@ -145,14 +173,14 @@ def written(spans: Column) -> Column:
 def secret_report(docs: DataFrame) -> DataFrame:
     """``doc_id``, counts per kind, the base spans and all spans as text."""
     found = scan(docs.select("doc_id", "text"))
-    counts = [F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS[:3]]
-    return found.select("doc_id", *counts, written(F.col("_base")).alias("base_spans"), written(F.col("_spans")).alias("spans"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    doc_id = F.col("doc").getField("doc_id").alias("doc_id")
+    return found.select(doc_id, *counts, written(F.col("base")).alias("base_spans"), written(F.col("spans")).alias("spans"))
 
 
 def without_secrets(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
-    """``docs`` with each span of its text replaced by ``mark``; where texts overlap, by one. Other rows stay as they are."""
-    columns = docs.columns
-    found = scan(docs.withColumnRenamed("_base", "_own_base")) if "_base" in columns else scan(docs)
+    """``docs`` with each span of its text replaced by ``mark``; where spans overlap, by one. Other rows stay as they are."""
+    found = scan(docs)
     text = F.col("text")
     start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
 
@@ -163,11 +191,11 @@ def without_secrets(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
         return F.struct(done.alias("done"), F.greatest(state["at"], span["end"]).alias("at"))
 
     rest = lambda state: F.concat(state["done"], F.substr(text, state["at"] + 1, F.length(text)))
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(text)
-    kept = found.withColumn("_clean", clean)
-    chosen = {"text": F.col("_clean").alias("text")}
-    if "n_chars" in columns:
+    own = F.col("doc").getField("text")
+    kept = found.withColumn("clean", F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(own))
+    changed = {"text": F.col("clean")}
+    if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        changed = F.when(F.size("_spans") > 0, F.length("_clean").cast(kind)).otherwise(F.col("n_chars"))
-        chosen["n_chars"] = changed.alias("n_chars")
-    return kept.select(*[chosen.get(c, F.col(f"`{c}`")) for c in columns])
+        before = F.col("doc").getField("n_chars")
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("clean").cast(kind)).otherwise(before)
+    return from_rows(kept, docs.columns, changed)

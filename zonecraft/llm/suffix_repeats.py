@@ -51,7 +51,8 @@ def anchors(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     runs, reach = WINDOW - GRAM + 1, 1
     while reach < runs:  # smallest of the next 2, 4, 8 runs
         step = min(reach, runs - reach)
-        least[: len(least) - step] = np.minimum(least[: len(least) - step], least[step:])
+        ahead = least[step:]
+        least[: len(ahead)] = np.minimum(least[: len(ahead)], ahead)
         reach += step
     return least, fits(bounds, len(hashes), WINDOW)
 

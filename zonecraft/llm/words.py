@@ -110,7 +110,7 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndar
     """
     n = len(hashes)
     total = np.zeros(n, np.uint64)
-    for j in range(width):
+    for j in range(min(width, n)):
         total[: n - j] = total[: n - j] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[j:] if j else hashes
     return mix(total), fits(bounds, n, width)
 
