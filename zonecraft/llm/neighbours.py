@@ -2,13 +2,14 @@
 
 Equal vectors are one node (its id is their smallest ``vec_id``), so a vector that stands on any number of rows costs no
 more than one. A first graph comes from ``TREES`` random orders: vectors are sorted by the signs of their products with
-random directions and compared within blocks of ``BLOCK`` rows. Then, ``ROUNDS`` times, each node's neighbours and the
-nodes that have it as a neighbour meet; those of a pair of which at least one edge is new are compared, and each keeps the
-nearest it meets if they beat its present ones. A node that very many others point to has them meet in several blocks
+random directions and compared within blocks of ``BLOCK`` rows. Then each node's neighbours and the nodes that have it as
+a neighbour meet; those of a pair of which at least one edge is new are compared, and each keeps the nearest it meets if they
+beat its present ones. This is repeated until less than ``SETTLED`` of all edges are new. A node that very many others point to has them meet in several blocks
 along with its own neighbours, so no list is cut off. Each node keeps its ``DEGREE`` nearest.
 
-Search: a query starts from its own node and moves along edges in both directions. In each of ``STEPS`` steps the
-``WIDTH`` nearest nodes not yet left are expanded; the ``POOL`` nearest are kept. Distances that decide the answer are
+Search: a query starts from its own node and moves along edges in both directions. In each step the ``WIDTH`` nearest nodes
+not yet left are expanded; the ``POOL`` nearest are kept, times the doublings of the table's size. The walk ends when of
+the nodes kept for all queries less than ``ARRIVED`` remain to be left: nothing nearer lies beside the others. Distances that decide the answer are
 computed in double precision from the vectors as given.
 
 Rows whose vector is NULL, empty, zero or has NULL or non-finite components take no part, nor rows without an id. Where
@@ -32,12 +33,12 @@ DEGREE = 24
 BLOCK = 1024
 TREES = 16
 FIRST = 12  # nearest that a node keeps from one block
-ROUNDS = 2
+SETTLED = 0.02
 KEPT = 8  # nearest that a node keeps from one meeting
 MEETING = 32  # nodes that point to one node and meet in one block, about
-POOL = 240
-WIDTH = 100
-STEPS = 3
+POOL = 16
+WIDTH = 160
+ARRIVED = 0.01
 SEED = 32_452_843
 EDGES = "node long, neighbour long, d float"
 
@@ -212,16 +213,19 @@ def meetings(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_batches(present.select("host", "part", "member", "new", "radius", "v"), EDGES, work)
 
 
-def build_graph(nodes: DataFrame, stages: Stages, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, stages: Stages) -> DataFrame:
     """``node, neighbour, d`` (squared), the ``DEGREE`` nearest found for each node."""
     count = nodes.count()
     graph = stages.write(keep_nearest(first_graph(nodes, count).withColumn("new", F.lit(1)), DEGREE), "graph")
-    for _ in range(rounds):
+    share = 1.0
+    while share >= SETTLED:
         found = meetings(graph, nodes).withColumn("new", F.lit(1))
         known = graph.withColumn("new", F.lit(0))
         following = stages.write(keep_nearest(known.unionByName(found), DEGREE), "graph")
         stages.drop(graph)
         graph = following
+        # An edge replaces a farther one, so rounds come to an end.
+        share = graph.agg(F.avg("new")).first()[0] or 0.0
     return graph.drop("new")
 
 
@@ -244,19 +248,21 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, stages: Stage
     backward = graph.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"))
     ways = stages.write(graph.select("node", "neighbour").unionByName(backward).distinct(), "ways")
     order = Window.partitionBy("query").orderBy("d", "node")
+    held = POOL * max(nodes.count().bit_length(), 1)
     # The nearest of those not yet left; both windows share one exchange.
     waiting = Window.partitionBy("query").orderBy("left", "d", "node")
 
     def trimmed(met: DataFrame) -> DataFrame:
-        kept = met.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= POOL).drop("_rank")
+        kept = met.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= held).drop("_rank")
         leaving = ~F.col("left") & (F.row_number().over(waiting) <= WIDTH)
         return stages.write(kept.withColumn("leaving", leaving).coalesce(parts), "pool")
 
     start = queries.select(F.col("node").alias("query"), "node").distinct()
     # A pool is small beside the tables, so it is kept in files of about 100,000 rows.
-    parts = max(8, queries.count() * POOL // 100_000)
+    parts = max(8, queries.count() * held // 100_000)
     pool = trimmed(start.select("query", "node", F.lit(0.0).alias("d"), F.lit(False).alias("left")))
-    for _ in range(STEPS):
+    remaining = lambda: pool.agg(F.avg(F.col("leaving").cast("int"))).first()[0] or 0.0
+    while remaining() >= ARRIVED:
         reached = pool.where("leaving").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
         fresh = reached.distinct().join(pool.select("query", "node"), ["query", "node"], "left_anti")
         met = distances(fresh, nodes, "<f4").withColumn("left", F.lit(False))
