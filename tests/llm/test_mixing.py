@@ -1,12 +1,15 @@
 """Mixing: targets by water filling, words near them, and the copies of the pipeline."""
 
+import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
 from tests.llm.fixtures import document_rows, frame
 from zonecraft.llm import mixing
+from zonecraft.llm.common import Stages
 
 
 def goals(sizes):
@@ -92,3 +95,46 @@ def test_rows_without_an_own_id_are_mixed_each_by_itself(spark):
 def test_empty_table(spark):
     assert mixing.mix_sources(frame(spark, [])).count() == 0
     assert mixing.mixed_documents(frame(spark, [])).count() == 0
+
+
+ROWS = "row long, doc_id long, source string, size long, lacking double, u double"
+
+
+def plain_inclusion(sizes, lacking):
+    """The level by bisection."""
+    sizes = np.array(sizes, float)
+    low, high = 0.0, 1e9
+    for _ in range(300):
+        level = (low + high) / 2
+        words = (np.minimum(level * sizes**mixing.TILT, 1) * sizes)[sizes > 0].sum()
+        low, high = (level, high) if words < lacking else (low, level)
+    return np.where(sizes > 0, np.minimum(low * sizes**mixing.TILT, 1), 0) if lacking > 0 else np.zeros(len(sizes))
+
+
+def test_inclusion_probabilities(spark):
+    """They grow with the document, are 1 for those that are certain, and the expected words are those lacking."""
+    rng = random.Random(3)
+    kinds = {"even": [10] * 50, "mixed": [rng.randrange(0, 200) for _ in range(300)], "hot": [5] * 200 + [9000, 4000, 0], "one": [7]}
+    lacking = {"even": 123.0, "mixed": 9000.5, "hot": 12_800.0, "one": 3.0}
+    lacking["none"], kinds["none"] = 0.0, [3, 4]
+    rows = [(f"{n}{i}", n, s) for n, sizes in kinds.items() for i, s in enumerate(sizes)]
+    df = spark.createDataFrame([(k, k, n, s, lacking[n], 0.5) for k, (_, n, s) in enumerate(rows)], ROWS)
+    got = {r.row: r.p for r in mixing.inclusion(df, Stages(spark, "test")).collect()}
+    for name, sizes in kinds.items():
+        mine = [got[k] for k, (_, n, _) in enumerate(rows) if n == name]
+        assert mine == pytest.approx(plain_inclusion(sizes, lacking[name]), abs=1e-9)
+        assert np.dot(mine, sizes) == pytest.approx(lacking[name])
+    assert max(got[k] for k, (_, n, s) in enumerate(rows) if n == "hot" and s > 1000) == 1
+
+
+def test_frequencies_over_many_draws(spark):
+    """Each draw has exactly the expected number of documents; each document is drawn about as often as its probability says."""
+    rng = random.Random(4)
+    draws, p = 400, [0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9, 0.85] * 5
+    schema = "row long, doc_id long, source string, size long, u double, p double"
+    rows = [(d * 100 + i, i, f"d{d}", 5, rng.random(), q) for d in range(draws) for i, q in enumerate(p)]
+    got = mixing.pareto_sample(spark.createDataFrame(rows, schema)).where("more = 1").select("source", "doc_id").collect()
+    assert set(Counter(r.source for r in got).values()) == {round(sum(p))}
+    seen = Counter(r.doc_id for r in got)
+    for i, q in enumerate(p):
+        assert abs(seen[i] / draws - q) < 4.5 * (q * (1 - q) / draws) ** 0.5 + 0.01

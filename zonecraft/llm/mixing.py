@@ -4,12 +4,16 @@ Sizes are words. Sources in code point order (NULL last) weigh 5, 2, 1, 5, 2, 1,
 words of all documents. A source's target is its weighted part, at most ``MOST`` times its words; what lies above is
 shared again by weight until no target is above. That is min(MOST * words, level * weight) with one level for all.
 
-A source whose target is r times its words takes every document floor(r) times. The rest, r - floor(r), is the inclusion
-probability p of one more copy. Documents are ranked by their random odds u / (1 - u) over their inclusion odds
-p / (1 - p), and taken from the smallest ranking value on for as long as their words fit what the target still lacks.
-Those left with no more words than are then missing follow in the same order, again while they fit, and at last the one
-document that comes nearest to what is still missing. u is a hash of source, id and text with a fixed seed, so reruns
-agree.
+A source whose target is r times its words takes every document floor(r) times. What its target then lacks is a sample in
+which a document of some words has an inclusion probability p in proportion to their ``TILT``-th power, such that the
+expected words are those lacking. Documents whose probability would be 1 or more are certain: they are taken out first, and
+the others share what is left. Of these exactly the sum of their probabilities, rounded, are taken: the ones with the
+smallest ranking value, their random odds u / (1 - u) over their inclusion odds p / (1 - p). u is a hash of source, id and
+text with a fixed seed, so reruns agree.
+
+The sample has the right number of documents; its words miss the target by chance. Documents next in the order are added
+while they fit the gap, or the last ones dropped while they fit what is too much, and at last the one document that comes
+nearest to what is still missing is added.
 
 NULL and empty texts have size 0 and count as documents without words: they are copied like the others but take
 nothing. Equal rows have equal random numbers and follow each other; they are taken one by one. Sources without words have
@@ -32,6 +36,8 @@ from zonecraft.operators.running import number_rows, running_total
 SHARE = 1.5
 MOST = 2.0
 WEIGHTS = (5, 2, 1)
+TILT = 0.5  # a document of four times the words is twice as likely to be taken
+SENT = 100_000  # sources that may be sent to every task: some 10 MB
 SEED = 15_485_863
 NO_SOURCE = "\U0010ffff\U0010ffff"  # stands after every source; NULL is told apart by a column of its own
 
@@ -85,17 +91,61 @@ def targets(sized: DataFrame) -> DataFrame:
     return weighed.select("source", "known", "source_size", target.alias("target"))
 
 
+def beside(rows: DataFrame, sources: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with what is known of their source. Sources are sent to every task where they are counted to be few, so that a
+    hot one stays where its rows are."""
+    few = sources.count() <= SENT
+    return rows.join(F.broadcast(sources) if few else sources, keys)
+
+
+def inclusion(rows: DataFrame, stages: Stages) -> DataFrame:
+    """Add ``p``, the inclusion probability of one more copy: 1 for certain documents, 0 for those without words.
+
+    ``rows`` have ``source, size, lacking``. The level c with sum(min(1, c * size**TILT) * size) = lacking is found from
+    the sizes that occur, largest first; they are few beside the documents.
+    """
+    kinds = rows.where("size > 0 and lacking > 0").groupBy("source", "size").agg(F.count("*").alias("n"), F.any_value("lacking").alias("lacking"))
+    weight = F.pow(F.col("size"), F.lit(TILT))
+    words = F.col("n") * F.col("size")
+    kinds = kinds.withColumns({"weight": weight, "words": words, "heft": weight * words, "order": -F.col("size")})
+    kinds = running_total(kinds, ["source"], ["order"], "words", "certain")
+    kinds = stages.write(running_total(kinds, ["source"], ["order"], "heft", "heft_before"), "sizes")
+    whole = kinds.groupBy("source").agg(F.sum("heft").alias("hefts"))
+    level = (F.col("lacking") - F.col("certain")) / (F.col("hefts") - F.col("heft_before"))
+    # The first size that the level of what is left does not make certain; all larger ones are.
+    levels = beside(kinds, whole, ["source"]).where(F.col("hefts") > F.col("heft_before")).withColumn("level", level)
+    open_sizes = levels.where(F.col("level") * F.col("weight") < 1)
+    first = open_sizes.groupBy("source").agg(F.min_by("level", "order").alias("level"), F.max("size").alias("below"))
+    joined = rows.join(F.broadcast(first) if first.count() <= SENT else first, "source", "left")
+    p = F.when((F.col("size") == 0) | (F.col("lacking") <= 0), 0.0)
+    p = p.when(F.col("below").isNull() | (F.col("size") > F.col("below")), 1.0)
+    p = p.otherwise(F.least(F.greatest(F.col("level"), F.lit(0.0)) * F.pow(F.col("size"), F.lit(TILT)), F.lit(1.0)))
+    return joined.withColumn("p", p).drop("level", "below")
+
+
+def pareto_sample(rows: DataFrame) -> DataFrame:
+    """Rows with 0 < p < 1 in Pareto order: ``place`` from 1, and ``more``, 1 for exactly as many of a source as the sum of
+    its probabilities, rounded."""
+    odds = F.col("u") / (1 - F.col("u"))
+    ranked = rows.withColumn("rank", odds * (1 - F.col("p")) / F.col("p"))
+    placed = number_rows(ranked, ["source"], ["rank", "doc_id", "row"], "place")
+    # Sums of millions of shares differ in their last digits from run to run; the rounding does not.
+    share = F.sum(F.col("p").cast("decimal(38,18)"))
+    wanted = rows.groupBy("source").agg(F.round(share).cast("long").alias("wanted"))
+    return beside(placed, wanted, ["source"]).withColumn("more", (F.col("place") <= F.col("wanted")).cast("int")).drop("wanted")
+
+
 def with_gap(chosen: DataFrame) -> DataFrame:
-    """Add ``gap``: the words a source's copies still lack."""
+    """Add ``gap``: the words a source's copies still lack; below 0 what is too much."""
     held = chosen.groupBy("source").agg(F.sum(F.col("size") * F.col("more")).alias("held"))
-    return chosen.join(held, "source").withColumn("gap", F.col("lacking") - F.col("held")).drop("held")
+    return beside(chosen, held, ["source"]).withColumn("gap", F.col("lacking") - F.col("held")).drop("held")
 
 
-def also(chosen: DataFrame, rows: DataFrame) -> DataFrame:
-    """Take the given rows once more."""
-    more = F.col("more") + F.coalesce("_fill", F.lit(0))
-    marks = rows.select("row", F.lit(1).alias("_fill"))
-    return chosen.join(marks, "row", "left").withColumn("more", more).drop("_fill", "gap")
+def changed(chosen: DataFrame, rows: DataFrame, by: int) -> DataFrame:
+    """Take the given rows once more, or not after all."""
+    more = F.col("more") + F.coalesce("_by", F.lit(0))
+    marks = rows.select("row", F.lit(by).alias("_by"))
+    return chosen.join(marks, "row", "left").withColumn("more", more).drop("_by", "gap")
 
 
 def mix_sources(docs: DataFrame) -> DataFrame:
@@ -109,40 +159,37 @@ def mix_rows(plain: DataFrame) -> DataFrame:
     stages = Stages(plain.sparkSession, "mixing")
     sized = stages.write(sizes(plain), "sizes")
     goals = stages.write(targets(sized), "targets")
-    # Sources are few beside documents; the join's strategy is left to the size check.
-    rows = sized.join(goals, ["source", "known"])
+    rows = beside(sized, goals, ["source", "known"])
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio + 1e-12)
-    p = F.greatest(ratio - whole, F.lit(0.0))
     lacking = F.greatest(F.col("target") - whole * F.col("source_size"), F.lit(0.0))
-    odds = F.col("u") / (1 - F.col("u"))
-    rows = rows.withColumns({"whole": whole.cast("long"), "p": p, "lacking": lacking})
-    rows = rows.withColumn("rank", odds * (1 - F.col("p")) / F.greatest("p", F.lit(1e-15)))
-    # Sources that need no further copy are settled already.
-    needy = rows.where("p > 1e-12")
-    settled = rows.where("p <= 1e-12").withColumn("more", F.lit(0))
-
-    order = ["rank", "doc_id", "row"]
-    ranked = running_total(needy, ["source"], order, "size", "before")
-    fits = F.col("before") + F.col("size") <= F.col("lacking")
-    chosen = with_gap(stages.write(ranked.withColumn("more", fits.cast("int")), "ranked"))
-    # Once more in the same order, without the documents that are too long for what is missing.
-    trial = chosen.where("more = 0 and size > 0 and size <= gap").select("source", "rank", "doc_id", "row", "size", "gap")
-    again = running_total(trial, ["source"], order, "size", "late")
-    fills = again.where(F.col("late") + F.col("size") <= F.col("gap"))
-    chosen = stages.write(also(chosen, fills), "chosen")
+    rows = rows.withColumns({"whole": whole.cast("long"), "lacking": F.when(lacking < 0.5, 0.0).otherwise(lacking)})
+    rows = stages.write(inclusion(rows, stages), "inclusion")
+    certain = rows.where("p >= 1").withColumns({"more": F.lit(1), "place": F.lit(0).cast("long")})
+    out = rows.where("p <= 0").withColumns({"more": F.lit(0), "place": F.lit(None).cast("long")})
+    drawn = pareto_sample(rows.where("p > 0 and p < 1"))
+    names = [*rows.columns, "more", "place"]
+    chosen = certain.select(*names).unionByName(drawn.select(*names))
+    chosen = with_gap(stages.write(chosen, "ranked"))
+    # Too few words: more documents in the order, those that fit. Too many: the last ones go, those that fit.
+    keep = ["source", "place", "row", "size", "gap"]
+    trial = chosen.where("place > 0").where("(gap > 0 and more = 0 and size <= gap) or (gap < 0 and more = 1 and size <= -gap)")
+    trial = trial.select(*keep).withColumn("turn", F.when(F.col("gap") < 0, -F.col("place")).otherwise(F.col("place")))
+    again = running_total(trial, ["source"], ["turn", "row"], "size", "late")
+    fits = stages.write(again.where(F.col("late") + F.col("size") <= F.abs(F.col("gap"))), "fits")
+    chosen = changed(changed(chosen, fits.where("gap > 0"), 1), fits.where("gap < 0"), -1)
     # The one document that comes nearest to what is missing then, if it brings the sum nearer.
-    chosen = with_gap(chosen)
+    chosen = with_gap(stages.write(chosen, "chosen"))
     miss = F.abs(F.col("size") - F.col("gap"))
     nearest = chosen.where("more = 0 and size > 0").where(miss < F.col("gap"))
-    last = nearest.groupBy("source").agg(F.min(F.struct(miss, "rank", "row")).alias("best")).select(F.col("best.row").alias("row"))
-    chosen = also(chosen, last)
+    last = nearest.groupBy("source").agg(F.min(F.struct(miss, "place", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    chosen = changed(chosen, last, 1)
 
     names = ["row", "doc_id", "source", "known", "size", "source_size", "target", "whole", "more"]
     copies = (F.col("whole") + F.col("more")).alias("copies")
     taken = ((F.col("whole") + F.col("more")) * F.col("size")).alias("taken")
     source = F.when(F.col("known"), F.col("source")).alias("source")
-    every = chosen.select(*names).unionByName(settled.select(*names))
+    every = chosen.select(*names).unionByName(out.select(*names))
     return every.select("row", "doc_id", source, "size", "source_size", "target", copies, taken)
 
 
