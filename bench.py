@@ -37,6 +37,12 @@ HEADLINE = [
     "y10_expand",
     "j13_replica_persons",
     "y11_zone_summary",
+    "y04_fit_all_controls",
+    "y07_fit_regional",
+    "y09_fit_zones",
+    "y08_controlled_rounding",
+    "y11_all_zone_controls",
+    "u03_all_benchmarks",
 ]
 
 

@@ -5,6 +5,7 @@ from suite import (  # noqa: F401
     control_queries,
     fitting_queries,
     incidence_queries,
+    lake_queries,
     publish_queries,
     quality_queries,
     report_queries,

@@ -169,6 +169,28 @@ def type_drift(df: DataFrame, expected: dict[str, str], group: Sequence[str] = (
     return wide.unpivot(list(group), list(expected), "column", "failures")
 
 
+def schema_drift(schemas: DataFrame, run: Sequence[str] = ("year", "run_timestamp")) -> DataFrame:
+    """Columns that a run's files hold in another type than most runs, or lack: run, ``column``, ``kind`` (NULL: missing),
+    ``usual`` and ``files``. ``schemas``: run, file, column, kind, as ``published_schemas`` reads them.
+
+    Of equally usual types the first by name counts. A run whose files disagree is named for each of their types.
+    """
+    run = list(run)
+    kinds = schemas.groupBy(*run, "column", "kind").agg(F.count("*").alias("files"))
+    votes = kinds.groupBy("column", "kind").agg(F.count("*").alias("runs"))
+    usual = votes.groupBy("column").agg(F.min_by("kind", F.struct(-F.col("runs"), "kind")).alias("usual"))
+    other = kinds.join(usual, "column").where("kind <> usual").select(*run, "column", "kind", "usual", "files")
+    # Columns that more than half of the runs have: at most as many as a file has columns.
+    runs = schemas.select(*run).distinct().count()
+    held = schemas.groupBy(*run, "column").agg(F.count_distinct("file").alias("_with"))
+    often = held.groupBy("column").agg(F.count("*").alias("n")).where(F.col("n") * 2 > runs)
+    names = F.array(*[F.lit(r["column"]) for r in often.collect()]).cast("array<string>")
+    every = schemas.groupBy(*run).agg(F.count_distinct("file").alias("_files")).withColumn("column", F.explode(names))
+    lacking = every.join(held, [*run, "column"], "left").join(usual, "column")
+    lacking = lacking.withColumn("files", F.col("_files") - F.coalesce("_with", F.lit(0))).where("files > 0")
+    return other.unionByName(lacking.select(*run, "column", F.lit(None).cast("string").alias("kind"), "usual", "files"))
+
+
 def run_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Keys of the left table that the right one lacks, each once."""
-    return left.distinct().subtract(right.distinct())
+    return left.subtract(right)

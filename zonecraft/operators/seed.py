@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,3 +130,40 @@ def empty_runs(households: DataFrame) -> DataFrame:
     return expected.join(counted, "synthesis_run", "left").select(
         "synthesis_run", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNull().alias("is_empty")
     )
+
+
+def distinct_profile(df: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Group, ``column``, ``rows``, ``nulls`` and the exact number of ``distinct`` values."""
+    group = list(group)
+    # One row per value: a hot value is combined before the shuffle, and no task holds a column's values.
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(*group, F.inline(entries)).groupBy(*group, "column", "value").agg(F.count("*").alias("n"))
+    return values.groupBy(*group, "column").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.count("value").alias("distinct"),
+    )
+
+
+SKETCH_BITS = 14  # 12 KB a sketch; the estimate is within 2 per cent in 19 of 20 columns
+
+
+def sketch_profile(df: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Group, ``column``, ``rows``, ``nulls`` and a ``sketch`` of the distinct values, to be stored with a run."""
+    group = list(group)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(*group, F.inline(entries))
+    return values.groupBy(*group, "column").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("value").isNull()).alias("nulls"),
+        F.hll_sketch_agg("value", SKETCH_BITS).alias("sketch"),
+    )
+
+
+def merged_profile(sketches: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Stored profiles of several runs as one, without reading the runs again; ``distinct`` is an estimate."""
+    group = list(group)
+    merged = sketches.groupBy(*group, "column").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("_all")
+    )
+    return merged.withColumn("distinct", F.hll_sketch_estimate("_all")).drop("_all")

@@ -77,14 +77,15 @@ def publish_run(
     user: str,
 ) -> list[str]:
     """Write each table with the run's columns. A failing write stops the job before the marker exists, and a second
-    attempt replaces what the first one left."""
+    attempt replaces what the first one left. The marker names the rows that the writes have seen; of a run that was
+    finished before, it keeps those of then."""
     stamp = F.to_timestamp(F.lit(run_timestamp))
-    written = []
-    for name, table in tables.items():
-        sinks.publish(sinks.with_run(table, year, stamp), root, name)
-        written.append(name)
+    same = F.col("year").eqNullSafe(F.lit(year).cast("int")) & (F.col("run_timestamp") == stamp)
+    before = {r.table_name: r.rows for r in sinks.marked_rows(spark, root).where(same).collect()}
     metadata = sinks.run_metadata(spark, year, config, batch_id, user, stamp)
-    sinks.publish(metadata, root, "run_metadata")
-    written.append("run_metadata")
-    sinks.mark_complete(spark, root, year, written, stamp)
-    return written
+    written = {}
+    for name, table in {**{n: sinks.with_run(t, year, stamp) for n, t in tables.items()}, "run_metadata": metadata}.items():
+        rows = sinks.publish_counted(table, root, name)
+        written[name] = before.get(name, rows)
+    sinks.mark_complete(spark, root, year, {**before, **written}, stamp)
+    return list(written)

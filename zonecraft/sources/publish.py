@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonecraft.functions.report import clean_numeric_text, timestamp_key
@@ -77,19 +77,32 @@ def only_new(rows: DataFrame, published: DataFrame, keys: Sequence[str] = RUN_KE
     return rows.join(done, same, "left_anti")
 
 
+def marked_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Every published table of every finished run with the rows its marker names."""
+    markers = read_if_exists(spark, f"{root.rstrip('/')}/{MARKERS}", MARKER_SCHEMA)
+    return markers.select(*RUN, F.explode("rows").alias("table_name", "rows"))
+
+
 def publish(df: DataFrame, root: str, name: str, partitions: Sequence[str] = RUN) -> str:
     """Append a table under its lake name, one folder per year and run. Runs that are already there are left as they are.
 
     Writes replace whole partitions, so a retry after a failed write cannot leave a run twice or half written.
     """
+    publish_counted(df, root, name, partitions)
+    return f"{root.rstrip('/')}/{name}"
+
+
+def publish_counted(df: DataFrame, root: str, name: str, partitions: Sequence[str] = RUN) -> int:
+    """``publish``, and the rows that were written, as the write itself has seen them."""
     path = f"{root.rstrip('/')}/{name}"
     rows = with_year(df)
     keys = [p for p in partitions if p in rows.columns]
     # Only finished runs count as published: their marker names the table.
     done = read_if_exists(df.sparkSession, f"{root.rstrip('/')}/{MARKERS}", MARKER_SCHEMA)
-    fresh = only_new(rows, done.where(F.array_contains("files", name)), RUN)
+    seen = Observation()
+    fresh = only_new(rows, done.where(F.array_contains("files", name)), RUN).observe(seen, F.count(F.lit(1)).alias("rows"))
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-    return path
+    return seen.get["rows"]
 
 
 def count_published(
@@ -107,9 +120,17 @@ def count_published(
     return reduce(lambda a, b: a.unionByName(b), counted)
 
 
-def mark_complete(spark: SparkSession, root: str, year: int | None, names: Sequence[str], run_timestamp: Column) -> None:
-    """Write the run's completion marker, last of all: tables and rows. Marking again replaces the marker."""
-    counted = count_published(spark, root, year, names, run_timestamp)
+def mark_complete(
+    spark: SparkSession, root: str, year: int | None, written: Sequence[str] | Mapping[str, int], run_timestamp: Column
+) -> None:
+    """Write the run's completion marker, last of all: tables and rows. Marking again replaces the marker.
+
+    ``written`` maps tables to the rows their writes have seen; of plain names the rows are counted from the tables.
+    """
+    if isinstance(written, Mapping):
+        counted = spark.createDataFrame(list(written.items()), "table_name string, rows long")
+    else:
+        counted = count_published(spark, root, year, written, run_timestamp)
     marker = counted.agg(
         F.lit(year).cast("int").alias("year"),
         F.count("*").cast("int").alias("succeeded"),
@@ -122,9 +143,12 @@ def mark_complete(spark: SparkSession, root: str, year: int | None, names: Seque
 
 
 def append_run(df: DataFrame, path: str, run_id: int | Column) -> DataFrame:
-    """Rows for a run-keyed table: empty text and NaN are NULL, the run id is added; appended to ``path``."""
+    """Rows for a run-keyed table: empty text and NaN are NULL, the run id is added.
+
+    Each run is a folder of its own, which a repeated load replaces, so a retry cannot leave a run's rows twice.
+    """
     cleaned = clean_for_load(df).withColumn("run_id", F.lit(run_id) if isinstance(run_id, int) else run_id)
-    cleaned.write.mode("append").parquet(path)
+    cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
     return cleaned
 
 

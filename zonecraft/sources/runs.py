@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecraft.functions.report import display_year
 
+RUN = ("year", "run_timestamp")
 REQUIRED_TABLES = ("timing_log", "synthetic_households", "synthetic_persons")
 
 
@@ -37,7 +38,20 @@ def latest_first(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.col("date").desc(), F.col("run_id").desc())
 
 
+def rows_of_runs(data: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows of the given runs (year and time; the year may be NULL).
+
+    Runs are few and the folders of a table are named after them, so the runs are told to the scan when it starts, and
+    folders of other runs are not opened.
+    """
+    # No time is written as nothing; said as a comparison, Spark takes it for a reason to prune.
+    known = runs.select(*RUN).distinct().where("cast(run_timestamp as string) > ''")
+    dated = data.join(known.where("year is not null"), list(RUN), "left_semi")
+    undated = known.where("year is null").select("run_timestamp")
+    return dated.unionByName(data.where("year is null").join(undated, "run_timestamp", "left_semi"))
+
+
 def read_completed(data: DataFrame, markers: DataFrame) -> DataFrame:
     """Rows of runs whose completion marker exists."""
-    keys = ["year", "run_timestamp"]
-    return data.join(markers.select(*keys), keys, "left_semi")
+    written = markers.where("succeeded >= 0") if "succeeded" in markers.columns else markers
+    return rows_of_runs(data, written)

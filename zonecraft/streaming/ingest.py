@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecraft.sources.publish import MARKER_SCHEMA, MARKERS, RUN, only_new, read_if_exists
+from zonecraft.session import stage
+from zonecraft.sources.publish import MARKER_SCHEMA, MARKERS, RUN
+from zonecraft.sources.runs import rows_of_runs
 
 
 def ingest_completed(
@@ -13,22 +15,23 @@ def ingest_completed(
 ):
     """Copy every run (year and time) of ``table`` that has a marker to ``target``, each run once. ``schema`` names both.
 
-    The stream tracks marker files, so a run still being written is never seen. A run's rows replace the run's own
-    partition, so a batch that is replayed after a failure leaves the same result.
+    The stream tracks marker files, so a run still being written is never seen. Which runs have been admitted is the
+    stream's keyed state, kept with its checkpoint: a marker that is written again, comes late or is read again after a
+    restart admits nothing, and the target is never read. A marker that does not name the table yet is no admission. A
+    run's rows replace the run's own partition, so a batch that is replayed after a failure leaves the same result.
     """
     markers = spark.readStream.schema(MARKER_SCHEMA).parquet(f"{root.rstrip('/')}/{MARKERS}")
+    named = markers.where((F.col("succeeded") > 0) & F.array_contains("files", table))
+    admitted = named.select(*RUN).dropDuplicates(list(RUN))
 
-    def admit(batch: DataFrame, _: int) -> None:
+    def copy(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        named = batch.where(F.array_contains("files", table)).select(*RUN).distinct()
-        fresh = only_new(named, read_if_exists(session, target, schema), RUN)
-        runs = fresh.select(*[F.col(k).alias(f"_{k}") for k in RUN])
         rows = session.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
-        same = rows["year"].eqNullSafe(runs["_year"]) & (rows["run_timestamp"] == runs["_run_timestamp"])
-        admitted = rows.join(runs, same, "left_semi")
-        admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).parquet(target)
+        # Written, the few runs of a batch have a known size, so the scan below is pruned to their folders.
+        chosen = rows_of_runs(rows, stage(batch, "admitted"))
+        chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).parquet(target)
 
-    query = markers.writeStream.foreachBatch(admit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = admitted.writeStream.foreachBatch(copy).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         query.awaitTermination()
     return query
