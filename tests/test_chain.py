@@ -32,6 +32,31 @@ def test_open_zones_stop_the_job_unless_accepted(spark, result):
         synthesis.seed_weights(result.seeds, result.controls, standin(spark, SF, "geo_cross_walk"), strict)
 
 
+def seed_shuffles(frame):
+    """Exchanges by the household key above a scan of a bucketed seed table."""
+    import re
+
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    return [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(synthesis_run", line)]
+
+
+def test_seed_tables_are_joined_and_grouped_without_a_shuffle(spark, result):
+    from zonecraft.operators import expand, incidence
+
+    seeds, key = result.seeds, synthesis.SEED
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = incidence.incidence(seeds.households, seeds.persons, d.fitting_controls(), key, ("PUMA", "WGTP"))
+        assert seed_shuffles(rows) == [] and rows.count() == seeds.households.count()
+        starts = result.weights.withColumn("start", F.lit(0)).select(*key, "mgra", "start", "integer_weight")
+        # Only the weights are dealt anew, not the seed.
+        assert len(seed_shuffles(starts.join(seeds.persons.select(*key, "AGEP"), key))) == 1
+        assert expand.expand_records(starts, seeds.persons.select(*key, "AGEP"), key).count() == result.persons.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_ids_are_one_to_n_per_year_and_runs_are_pure(result):
     rows = result.households
     seen = rows.groupBy("increment").agg(F.min("household_id"), F.max("household_id"), F.count_distinct("household_id"), F.count("*"))

@@ -20,17 +20,22 @@ def of_table(controls: Iterable[Control], table: str) -> list[Control]:
 
 
 def incidence(
-    households: DataFrame, persons: DataFrame, controls: Sequence[Control], key: str = "hhid", keep: Sequence[str] = ()
+    households: DataFrame,
+    persons: DataFrame,
+    controls: Sequence[Control],
+    key: str | Sequence[str] = "hhid",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Per household: 0/1 for each household control, the number of matching persons for each person control."""
+    key = [key] if isinstance(key, str) else list(key)
     own = of_table(controls, "households")
     members = of_table(controls, "persons")
     flags = households.select(
-        key, *keep, *[F.coalesce(c.matches().cast("int"), F.lit(0)).alias(c.target) for c in own]
+        *key, *keep, *[F.coalesce(c.matches().cast("int"), F.lit(0)).alias(c.target) for c in own]
     )
     if not members:
         return flags
-    counts = persons.groupBy(key).agg(*[matched(c) for c in members])
+    counts = persons.groupBy(*key).agg(*[matched(c) for c in members])
     return flags.join(counts, key, "left").na.fill(0, [c.target for c in members])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,20 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return table
 
 
+def stage_bucketed(df: DataFrame, keys: Sequence[str], name: str = "stage") -> DataFrame:
+    """``stage`` as a table dealt into buckets by ``keys`` and sorted by them: joins and groups on them need no shuffle of it.
+
+    As many buckets as Spark shuffles into, one file each; the table's name is known to this session's catalog only.
+    """
+    spark = df.sparkSession
+    path = new_stage_path(spark, name)
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"stage_{uuid.uuid4().hex}"
+    dealt = df.repartition(count, *keys).write.format("parquet").bucketBy(count, *keys).sortBy(*keys)
+    dealt.option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def drop_stage(table: DataFrame) -> None:
     """Delete a staged table that no later step reads."""
     spark = table.sparkSession
