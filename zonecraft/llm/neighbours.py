@@ -4,12 +4,12 @@ Equal vectors are one node (its id is their smallest ``vec_id``), so a vector th
 more than one. A first graph comes from ``TREES`` random orders: vectors are sorted by the signs of their products with
 random directions and compared within blocks of ``BLOCK`` rows. Then each node's neighbours and the nodes that have it as
 a neighbour meet; those of a pair of which at least one edge is new are compared, and each keeps the nearest it meets if they
-beat its present ones. This is repeated until less than ``SETTLED`` of all edges are new. A node that very many others point to has them meet in several blocks
+beat its present ones. This is repeated ``ROUNDS`` times, and on until less than ``SETTLED`` of all edges are new. A node that very many others point to has them meet in several blocks
 along with its own neighbours, so no list is cut off. Each node keeps its ``DEGREE`` nearest.
 
-Search: a query starts from its own node and moves along edges in both directions. In each step the ``WIDTH`` nearest nodes
-not yet left are expanded; the ``POOL`` nearest are kept, times the doublings of the table's size. The walk ends when of
-the nodes kept for all queries less than ``ARRIVED`` remain to be left: nothing nearer lies beside the others. Distances that decide the answer are
+Search: a query starts from its own node and moves along edges in both directions. The ``POOL`` nearest nodes met are
+kept, times the doublings of the table's size, and in each step those of them not yet left are expanded. The walk ends when
+of the nodes kept for all queries less than ``ARRIVED`` remain to be left: nothing nearer lies beside the others. Distances that decide the answer are
 computed in double precision from the vectors as given.
 
 Rows whose vector is NULL, empty, zero or has NULL or non-finite components take no part, nor rows without an id. Where
@@ -33,12 +33,13 @@ DEGREE = 24
 BLOCK = 1024
 TREES = 16
 FIRST = 12  # nearest that a node keeps from one block
-SETTLED = 0.02
+ROUNDS = 3  # at least, so that small tables, whose first graph is nearly right, are treated like large ones
+SETTLED = 0.03
 KEPT = 8  # nearest that a node keeps from one meeting
 MEETING = 32  # nodes that point to one node and meet in one block, about
 POOL = 16
-WIDTH = 160
-ARRIVED = 0.01
+ARRIVED = 0.02
+TASK = 100_000  # rows with vectors that a task compares, about
 SEED = 32_452_843
 EDGES = "node long, neighbour long, d float"
 
@@ -176,8 +177,8 @@ def keep_nearest(edges: DataFrame, count: int) -> DataFrame:
     return known.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
 
 
-def meetings(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Better edges found where the neighbours of a node meet."""
+def meetings(graph: DataFrame, nodes: DataFrame, count: int) -> DataFrame:
+    """Better edges found where the neighbours of a node meet; ``count`` is the number of nodes."""
     radius = graph.groupBy("node").agg(F.when(F.count("*") >= DEGREE, F.max("d")).alias("radius"))
     members = nodes.join(radius, "node", "left").withColumnRenamed("node", "member")
     incoming = graph.groupBy("neighbour").agg(F.ceil(F.count("*") / MEETING).cast("int").alias("parts"))
@@ -188,6 +189,8 @@ def meetings(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     back = back.join(incoming.withColumnRenamed("neighbour", "host"), "host")
     back = back.select("host", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("part"), "member", "new")
     present = own.unionByName(back).join(members, "member").repartition("host", "part").sortWithinPartitions("host", "part")
+    # Of a small table no more tasks than it is worth; a meeting stays in one.
+    present = present.coalesce(max(8, 2 * DEGREE * count // TASK))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for table, starts in runs(batches, ["host", "part"]):
@@ -217,22 +220,22 @@ def build_graph(nodes: DataFrame, stages: Stages) -> DataFrame:
     """``node, neighbour, d`` (squared), the ``DEGREE`` nearest found for each node."""
     count = nodes.count()
     graph = stages.write(keep_nearest(first_graph(nodes, count).withColumn("new", F.lit(1)), DEGREE), "graph")
-    share = 1.0
-    while share >= SETTLED:
-        found = meetings(graph, nodes).withColumn("new", F.lit(1))
+    share, rounds = 1.0, 0
+    while share >= SETTLED or rounds < ROUNDS:
+        found = meetings(graph, nodes, count).withColumn("new", F.lit(1))
         known = graph.withColumn("new", F.lit(0))
         following = stages.write(keep_nearest(known.unionByName(found), DEGREE), "graph")
         stages.drop(graph)
         graph = following
         # An edge replaces a farther one, so rounds come to an end.
-        share = graph.agg(F.avg("new")).first()[0] or 0.0
+        share, rounds = graph.agg(F.avg("new")).first()[0] or 0.0, rounds + 1
     return graph.drop("new")
 
 
-def distances(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
-    """``query, node, d``: Euclidean distance, summed in double precision, for pairs of nodes."""
+def distances(pairs: DataFrame, nodes: DataFrame, kind: str, tasks: int) -> DataFrame:
+    """``query, node, d``: Euclidean distance, summed in double precision, for pairs of nodes, in at most so many tasks."""
     left = nodes.select(F.col("node").alias("query"), F.col("v").alias("_left"))
-    both = pairs.select("query", "node").join(nodes, "node").join(left, "query").select("query", "node", "_left", "v")
+    both = pairs.select("query", "node").join(nodes, "node").join(left, "query").select("query", "node", "_left", "v").coalesce(tasks)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -249,24 +252,21 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, stages: Stage
     ways = stages.write(graph.select("node", "neighbour").unionByName(backward).distinct(), "ways")
     order = Window.partitionBy("query").orderBy("d", "node")
     held = POOL * max(nodes.count().bit_length(), 1)
-    # The nearest of those not yet left; both windows share one exchange.
-    waiting = Window.partitionBy("query").orderBy("left", "d", "node")
 
     def trimmed(met: DataFrame) -> DataFrame:
         kept = met.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= held).drop("_rank")
-        leaving = ~F.col("left") & (F.row_number().over(waiting) <= WIDTH)
-        return stages.write(kept.withColumn("leaving", leaving).coalesce(parts), "pool")
+        return stages.write(kept.coalesce(parts), "pool")
 
     start = queries.select(F.col("node").alias("query"), "node").distinct()
-    # A pool is small beside the tables, so it is kept in files of about 100,000 rows.
-    parts = max(8, queries.count() * held // 100_000)
+    # Pools and what a step meets are small beside the tables: a few tasks serve them.
+    parts = max(8, queries.count() * held // TASK)
     pool = trimmed(start.select("query", "node", F.lit(0.0).alias("d"), F.lit(False).alias("left")))
-    remaining = lambda: pool.agg(F.avg(F.col("leaving").cast("int"))).first()[0] or 0.0
+    remaining = lambda: pool.agg(F.avg((~F.col("left")).cast("int"))).first()[0] or 0.0
     while remaining() >= ARRIVED:
-        reached = pool.where("leaving").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
+        reached = pool.where("not left").select("query", "node").join(ways, "node").select("query", F.col("neighbour").alias("node"))
         fresh = reached.distinct().join(pool.select("query", "node"), ["query", "node"], "left_anti")
-        met = distances(fresh, nodes, "<f4").withColumn("left", F.lit(False))
-        before = pool.select("query", "node", "d", (F.col("left") | F.col("leaving")).alias("left"))
+        met = distances(fresh, nodes, "<f4", 4 * parts).withColumn("left", F.lit(False))
+        before = pool.select("query", "node", "d", F.lit(True).alias("left"))
         following = trimmed(before.unionByName(met))
         stages.drop(pool)
         pool = following
@@ -290,7 +290,7 @@ def nearest_neighbours(table: DataFrame, k: int, every: int, id_column: str = "v
     # Some more than k + 1 nodes, each of which holds at least one row, decide the answer in double precision.
     near = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
     pool = search(asked, graph, slim, stages).withColumn("_rank", near).where(F.col("_rank") <= 2 * k + 10)
-    near_nodes = distances(pool, nodes, "<f8")
+    near_nodes = distances(pool, nodes, "<f8", max(8, asked.count() * (2 * k + 10) // TASK))
     near_rows = near_nodes.join(members, "node").select("query", "vec_id", "d")
     answers = asked.withColumnRenamed("node", "query").join(near_rows, "query").where("vec_id <> query_id")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))
