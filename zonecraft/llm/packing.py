@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from zonecraft.llm.common import Stages, map_batches, typed
-from zonecraft.llm.tokens import encoder, tokenizer_path
+from zonecraft.llm.tokens import ENCODED, encoder, tokenizer_path
 from zonecraft.llm.words import blocks
 from zonecraft.operators.running import running_total
 
@@ -29,6 +28,7 @@ END_ID = 1
 BUCKET_BITS = 10
 DIMENSIONS = 4
 BITS = 15
+COUNTED = 256
 SEED = 20_011
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,13 +38,21 @@ def directions() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((1 << BUCKET_BITS, DIMENSIONS))
 
 
-def project(ids: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
-    """Coordinates 0 .. 2**BITS - 1 of each document: damped hashed counts of unit length, projected and squashed."""
-    out = np.empty((len(ids), matrix.shape[1]))
-    for i, own in enumerate(ids):
-        bucket = (own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)
-        damped = np.sqrt(np.bincount(bucket.astype(np.int64), minlength=1 << BUCKET_BITS))
-        out[i] = damped @ matrix / np.sqrt(len(own))
+def project(flat: np.ndarray, bounds: np.ndarray, end_id: int, matrix: np.ndarray) -> np.ndarray:
+    """Coordinates 0 .. 2**BITS - 1 of each document of a block: damped hashed counts of unit length, projected and squashed.
+
+    ``flat`` holds the ids of all documents, which begin at ``bounds``; each has the end id besides.
+    """
+    n, width = len(bounds) - 1, 1 << BUCKET_BITS
+    bucket = lambda ids: ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    sizes = np.diff(bounds)
+    out = np.empty((n, matrix.shape[1]))
+    for a in range(0, n, COUNTED):  # one dense table of counts for some hundred documents
+        b = min(a + COUNTED, n)
+        of = np.repeat(np.arange(b - a), sizes[a:b])
+        counts = np.bincount(of * width + bucket(flat[bounds[a] : bounds[b]]), minlength=(b - a) * width).reshape(b - a, width)
+        counts[:, bucket(np.array([end_id]))[0]] += 1
+        out[a:b] = np.sqrt(counts) @ matrix / np.sqrt(sizes[a:b] + 1)[:, None]
     unit = 1 / (1 + np.exp(-1.702 * out))
     return np.minimum((unit * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
@@ -85,17 +93,19 @@ def curve_places(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder, matrix = encoder(path), directions()
-        end = np.array([end_id], coder.kind).tobytes()
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, last, words in blocks(batch.column(1)):
+            for first, last, words in blocks(batch.column(1), ENCODED):
                 flat, bounds, _ = coder.encode_block(words)
-                packed = [flat[a:b].tobytes() + end for a, b in pairwise(bounds.tolist())]
-                n = len(packed)
+                n = len(bounds) - 1
+                # All ids of the block in one buffer, each document's followed by the end id.
+                whole = np.insert(flat, bounds[1:], end_id)
+                ends = (bounds + np.arange(n + 1)) * coder.width
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(whole)])
                 yield {
                     "row": np.arange(row, row + n),
                     "doc_id": batch.column(0).slice(first, last - first),
-                    "key": hilbert_keys(project([np.frombuffer(p, coder.kind) for p in packed], matrix)),
+                    "key": hilbert_keys(project(flat, bounds, end_id, matrix)),
                     "n": np.diff(bounds) + 1,
                     "width": [coder.width] * n,
                     "ids": packed,

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecraft.llm.common import Stages, map_batches, typed
-from zonecraft.llm.tokens import encoder, tokenizer_path
+from zonecraft.llm.tokens import ENCODED, encoder, tokenizer_path
 from zonecraft.llm.words import blocks
 from zonecraft.operators.running import running_total
 from zonecraft.session import new_stage_path
@@ -93,7 +93,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             if files is None and batch.num_rows:
                 store.create_dir(base, recursive=True)
                 files = store.open_output_stream(f"{name}.{attempt}.tmp")
-            for first, last, words in blocks(batch.column(1)):
+            for first, last, words in blocks(batch.column(1), ENCODED):
                 flat, bounds, _ = coder.encode_block(words)
                 doc_ids = batch.column(0).slice(first, last - first).to_pylist()
                 for doc_id, a, b in zip(doc_ids, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from zonecraft.llm.common import map_batches, typed
-from zonecraft.llm.tokens import Encoder, encoder, single, tokenizer_path
+from zonecraft.llm.tokens import ENCODED, Encoder, encoder, single, tokenizer_path
 from zonecraft.llm.words import Words, blocks
 
 LIMIT = 2048
@@ -69,7 +69,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = encoder(path)
         for batch in batches:
-            for first, last, words in blocks(batch.column(1)):
+            for first, last, words in blocks(batch.column(1), ENCODED):
                 counts, ends, starts = block_counts(words, coder)
                 cut = lambda values, at=starts: [values[a:b] for a, b in pairwise(at.tolist())]
                 yield {"doc_id": batch.column(0).slice(first, last - first), "ends": cut(ends), "counts": cut(counts)}
@@ -84,7 +84,7 @@ def token_report(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = encoder(path)
         for batch in batches:
-            for first, last, words in blocks(batch.column(1)):
+            for first, last, words in blocks(batch.column(1), ENCODED):
                 counts, ends, starts = block_counts(words, coder)
                 sizes = np.diff(words.offsets)
                 totals, kept, kept_tokens = [], [], []

@@ -18,16 +18,27 @@ from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 
 from zonecraft.llm.words import Words, split
 
+# Bytes of text whose distinct words are looked up together.
+ENCODED = 1 << 21
 # Pieces remembered per worker process, twice: when the newer half is full it becomes the older one.
 REMEMBERED = 400_000
 # First bytes of characters that are visible in every version of Unicode: printable ASCII and the Latin letters.
 VISIBLE = np.zeros(256, bool)
 VISIBLE[[*range(33, 127), *range(0xC3, 0xC9)]] = True
+# Bytes of letters of ASCII, the first byte of those of Latin-1, and bytes of marks other than the apostrophe; words with
+# "<", which may be special strings, are left to the tokenizer.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(65, 91), *range(97, 123), 0xC3]] = True
+MARKS = np.zeros(256, bool)
+MARKS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<"]] = True
 # Letters of ASCII and Latin-1, then ASCII marks other than the apostrophe: two pieces under both pre-tokenizers.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# The letters alone, as bytes.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -55,7 +66,7 @@ class Memory(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, piece):
-        value = self.old.get(piece)
+        value = self.old.get(piece) if self.old else None
         if value is None:
             value = self.make(piece)
         if len(self) >= REMEMBERED:
@@ -106,11 +117,10 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         """A piece in which no further cut is possible."""
         letters = self.letters
-        mapped = "".join([letters[b] for b in piece.encode()])
-        return self._pack([t.id for t in self.tokenize(mapped)])
+        return self._pack([t.id for t in self.tokenize("".join([letters[b] for b in piece]))])
 
     def _word(self, word: bytes) -> bytes:
         if word.isalpha() and word.islower():  # ASCII letters only
@@ -120,24 +130,17 @@ class Encoder:
         if not plain or b"<|" in word:
             return self._whole(text)
         if plain[2]:
-            return self.chunks[plain[1].encode()] + self.bare[plain[2]]
-        return self._piece(text.lower())
-
-    def _spaced(self, chunk: str) -> bytes:
-        """A chunk that stands after a space, or one that begins with the newline before it."""
-        if chunk.isascii() and chunk.isalpha():
-            return self._pack([t.id for t in self.tokenize(self.letters[32] + chunk)])
-        after_line = chunk[:1] == "\n"
-        plain = _PLAIN.fullmatch(chunk, int(after_line))
-        if not plain or "<|" in chunk:
-            return self._whole(chunk if after_line else " " + chunk)
-        if after_line:
-            found = self.bare["\n"] + self.bare[plain[1]]
-        elif not plain[2]:
-            return self._piece(" " + chunk)
-        else:
-            found = self.chunks[plain[1]]
-        return found + self.bare[plain[2]] if plain[2] else found
+            return self.chunks[plain[1].encode()] + self.bare[plain[2].encode()]
+        return self._piece(text.lower().encode())
+
+    def _spaced(self, chunk: bytes) -> bytes:
+        """A word with the space or newline before it."""
+        word = chunk[1:]
+        if chunk[0] == 32 and word.isalpha():  # ASCII letters only
+            return self._pack([t.id for t in self.tokenize(self.letters[32] + word.decode())])
+        if not _LETTERS.fullmatch(word):
+            return self._whole(chunk.decode())
+        return self.bare[b"\n"] + self.bare[word] if chunk[0] == 10 else self._piece(chunk)
 
     def ids(self, text: str) -> bytes:
         """The ids of one text, packed."""
@@ -153,27 +156,28 @@ class Encoder:
         n = len(words.counts)
         if self.mode == "whole":
             return self._join([self._whole(raw[a:b].decode()) for a, b in pairwise(words.offsets.tolist())])
-        keys, odd = words.hashes(), np.zeros(n, bool)
-        if self.mode == "space":
-            lead, odd = leads(words)
+        lead, odd = leads(words) if self.mode == "space" else (None, np.zeros(n, bool))
+        pieces, of_word, bare = split_marks(words, None if lead is None else lead == 0)
+        keys = pieces.hashes()
+        if lead is not None:
+            lead = np.where(bare, np.uint64(3), lead[of_word])
             keys = keys + lead * np.uint64(0x9E3779B97F4A7C15)
-        _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        starts, ends = words.starts[at].tolist(), words.ends[at].tolist()
+        at, inverse = distinct(keys)
+        starts, ends = pieces.starts[at], pieces.ends[at]
         if self.mode == "word":
-            chunks = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
-            found = list(map(self.chunks.__getitem__, chunks))
+            found = [self.chunks[raw[a:b]] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         else:
-            found = [
-                (self.others if kind == 0 else self.chunks)[("\n" if kind == 2 else "") + raw[a:b].decode()]
-                for a, b, kind in zip(starts, ends, lead[at].tolist(), strict=True)
-            ]
+            found = self._by_kind(raw, words.data, starts, ends, lead[at])
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
         flat = np.frombuffer(b"".join(found), self.kind)
         each = sizes[inverse]
         before = np.concatenate([[0], np.cumsum(each)])
         begins = (np.cumsum(sizes) - sizes)[inverse]
         ids = flat[np.repeat(begins - before[:-1], each) + np.arange(before[-1])]
-        bounds = before[words.bounds]
+        # The pieces of a word follow each other, so a text's ids begin with those of its first word's first piece.
+        first = np.searchsorted(of_word, np.arange(len(words.starts) + 1))
+        bounds = before[first[words.bounds]]
+        each = np.diff(before[first])
         if odd.any():
             parts = [
                 self._whole(raw[words.offsets[i] : words.offsets[i + 1]].decode()) if odd[i] else ids[bounds[i] : bounds[i + 1]].tobytes()
@@ -182,6 +186,22 @@ class Encoder:
             return self._join(parts)
         return ids, bounds, each
 
+    def _by_kind(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> list[bytes]:
+        """Ids of pieces: first words of texts, words with the byte before them (a space or newline), marks."""
+        found = np.empty(len(ends), object)
+        after = starts - 1
+        after[(kind == 0) | (kind == 3)] += 1
+        # Words after other gaps stand in texts that are encoded whole; their key is that of a word after a space.
+        strange = (kind == 1) & (data[after] != 32)
+        for which, known in enumerate((self.others, self.chunks, self.chunks, self.bare)):
+            at = np.flatnonzero((kind == which) & ~strange)
+            spans = zip(after[at].tolist(), ends[at].tolist(), strict=True)
+            ids = [known[raw[a:b].decode()] for a, b in spans] if which == 0 else [known[raw[a:b]] for a, b in spans]
+            found[at] = np.fromiter(ids, object, len(ids))
+        for i in np.flatnonzero(strange).tolist():
+            found[i] = self.chunks[b" " + raw[starts[i] : ends[i]]]
+        return found.tolist()
+
     def _join(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
         return np.frombuffer(b"".join(parts), self.kind), np.concatenate([[0], np.cumsum(sizes)]), sizes
@@ -191,6 +211,45 @@ def single(raw: bytes) -> Words:
     return split(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key first stands, and which of these every key is; by a hash table, which is faster than sorting."""
+    found = pa.array(keys).dictionary_encode()
+    which = found.indices.to_numpy()
+    at = np.empty(len(found.dictionary), np.int64)
+    at[which[::-1]] = np.arange(len(keys) - 1, -1, -1)
+    return at, which
+
+
+def split_marks(words: Words, whole: np.ndarray | None) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words as pieces: letters followed by marks are two pieces, as in ``_PLAIN``, any other word is one.
+
+    Returns the pieces, the word each belongs to, and which are marks. Words that ``whole`` names stay whole.
+    """
+    data, starts, ends = words.data, words.starts, words.ends
+    letters = LETTERS[data]
+    first = np.flatnonzero(data[:-1] == 0xC3)
+    second = data[first + 1]
+    letters[first + 1] = (second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)
+    others = np.concatenate([np.zeros(1, np.int32), np.cumsum(~letters, dtype=np.int32)])
+    cut = ends.copy()
+    ending = np.flatnonzero(MARKS[data[ends - 1]])
+    while len(ending):  # words that still end with a mark lose it
+        cut[ending] -= 1
+        ending = ending[cut[ending] > starts[ending]]
+        ending = ending[MARKS[data[cut[ending] - 1]]]
+    two = (cut < ends) & (cut > starts) & (others[cut] == others[starts])
+    if whole is not None:
+        two &= ~whole
+    place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(two)])[:-1]
+    size = len(starts) + int(two.sum())
+    begins, finishes, bare = np.empty(size, np.int64), np.empty(size, np.int64), np.zeros(size, bool)
+    begins[place], finishes[place] = starts, np.where(two, cut, ends)
+    second = place[two] + 1
+    begins[second], finishes[second], bare[second] = cut[two], ends[two], True
+    of_word = np.repeat(np.arange(len(starts)), two + 1)
+    return Words(data, begins, finishes, words.bounds, words.offsets), of_word, bare
+
+
 def leads(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Per word: 0 at the start of a text, 1 after a space, 2 after a newline. Per text: whether it has other gaps."""
     counts, data = words.counts, words.data
