@@ -1,5 +1,6 @@
 """Token ids, counts, records and packing against the tokenizers library."""
 
+import json
 import struct
 import zlib
 
@@ -148,3 +149,15 @@ def test_empty_tables(spark):
     assert packing.pack(empty, BYTE).count() == 0
     assert records.record_report(empty, WORD).count() == 0
     assert token_counts.token_report(empty, WORD).count() == 0
+
+
+def test_a_file_without_lower_casing_is_encoded_whole(tmp_path):
+    """A file of the same shape as the word-level one, but one that keeps capitals."""
+    settings = json.loads(open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8").read())
+    settings["normalizer"] = None
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(settings), encoding="utf-8")
+    cased = Encoder(str(path))
+    text = "Hello WORLD abc, naïve Čx"
+    ids = np.frombuffer(cased.ids(text), cased.kind).tolist()
+    assert ids == cased.tokenizer.encode(text, add_special_tokens=False).ids

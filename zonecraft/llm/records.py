@@ -112,7 +112,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
         yield {"shard": [shard], "path": [f"{folder}/shard-{shard:05d}"], "records": [len(index)], "tokens": [tokens]}
 
     plain = typed(docs, {"doc_id": "long", "text": "string"})
-    ordered = plain.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows without an id, or of one id, may lie in several shards: the hash of the text is part of the order.
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = plain.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     stages = Stages(docs.sparkSession, "records")
     return stages.write(map_batches(ordered, SHARDS, work), "shards")
 

@@ -100,7 +100,8 @@ class Encoder:
             if settings["normalizer"] is None and '"ByteLevel", "add_prefix_space": false' in pre and '"use_regex": true' in pre:
                 self.mode = "space"
             elif '"behavior": "Removed", "invert": true' in pre and "[^\\\\s\\\\p{L}\\\\p{N}]+" in pre:
-                self.mode = "word"
+                # Words are put in lower case here, so the file must do that too.
+                self.mode = "word" if '"Lowercase"' in json.dumps(settings["normalizer"]) else "whole"
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.code = "H" if self.width == 2 else "I"
