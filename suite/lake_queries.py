@@ -20,11 +20,12 @@ ZONE_CONTROLS = [c for c in FITTING if c.geography == "mgra"]
 HH = [c for c in ZONE_CONTROLS if c.seed_table == "households"]
 PP = [c for c in ZONE_CONTROLS if c.seed_table == "persons"]
 TARGETS = [c.target for c in ZONE_CONTROLS]
+SIDE = {c.target: "hr" if c.seed_table == "households" else "pr" for c in ZONE_CONTROLS}
 
 ROWS = f"""hr as (select mgra, {count_sql(HH)} from synthetic_households group by mgra),
   pr as (select mgra, {count_sql(PP)} from (select p.*, s.mgra, {RACE_SQL} as race from person_src p
     join synthetic_households s on s.household_id = p.household_id) q group by mgra),
-  zone_rows as (select z.mgra, {', '.join(f'z.{t} as {t}_control, coalesce({"hr" if t in [c.target for c in HH] else "pr"}.{t}, 0) as {t}_result' for t in TARGETS)}
+  zone_rows as (select z.mgra, {', '.join(f'z.{t} as {t}_control, coalesce({SIDE[t]}.{t}, 0) as {t}_result' for t in TARGETS)}
     from zones z left join hr on hr.mgra = z.mgra left join pr on pr.mgra = z.mgra where increment = 2022)"""
 
 
@@ -70,7 +71,8 @@ STAMP = "2026-01-02 03:04:05"
 def _(spark, sf):
     """All years' households as files, three columns of two years written in another type or left out."""
     root = new_stage_path(spark, "lake")
-    households = stage(standin(spark, sf, SH).select("year", "household_id", F.col("HHADJINC").cast("double").alias("HHADJINC"), "VEH", "gq_type"))
+    income = F.col("HHADJINC").cast("double").alias("HHADJINC")
+    households = stage(standin(spark, sf, SH).select("year", "household_id", income, "VEH", "gq_type"))
     for rest in range(7):
         own = households.where(F.col("year") % 7 == rest)
         if rest == 3:
@@ -94,15 +96,17 @@ def _profile_sql(distinct: str) -> str:
     )
 
 
-PEOPLE = "people as (select p.*, x.PUMA from person_src p join synthetic_households h on h.household_id = p.household_id join geo_cross_walk x on x.mgra = h.mgra)"
+PEOPLE = """people as (select p.NAICSP, p.SERIALNO, p.AGEP, x.PUMA from person_src p
+  join synthetic_households h on h.household_id = p.household_id join geo_cross_walk x on x.mgra = h.mgra)"""
 
 
 def people(spark, sf):
-    homes = standin(spark, sf, SH).select("household_id", "mgra").join(standin(spark, sf, "geo_cross_walk").select("mgra", "PUMA"), "mgra")
+    places = standin(spark, sf, "geo_cross_walk").select("mgra", "PUMA")
+    homes = standin(spark, sf, SH).select("household_id", "mgra").join(places, "mgra")
     return standin(spark, sf, P).drop("PUMA").join(homes.select("household_id", "PUMA"), "household_id")
 
 
-_SOURCES = f"{ctes(P, SH, 'geo_cross_walk')}, {PEOPLE.replace('p.*', 'p.NAICSP, p.SERIALNO, p.AGEP')}"
+_SOURCES = f"{ctes(P, SH, 'geo_cross_walk')}, {PEOPLE}"
 
 
 @query("a20_distinct_profile", f"{_SOURCES} {_profile_sql('count(distinct {c}) as distinct_values')}")
