@@ -40,9 +40,6 @@ HEADLINE = [
     "y04_fit_all_controls",
     "y07_fit_regional",
     "y09_fit_zones",
-    "y08_controlled_rounding",
-    "y11_all_zone_controls",
-    "u03_all_benchmarks",
 ]
 
 
