@@ -23,9 +23,9 @@ import pyarrow as pa
 from zonecraft.llm.words import Words, split
 
 # Bytes of text whose distinct words are looked up together.
-ENCODED = 1 << 20
+ENCODED = 3 << 19
 # Pieces remembered per worker process, twice: when the newer half is full it becomes the older one.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # First bytes of characters that are visible in every version of Unicode: printable ASCII and the Latin letters.
 VISIBLE = np.zeros(256, bool)
 VISIBLE[[*range(33, 127), *range(0xC3, 0xC9)]] = True
