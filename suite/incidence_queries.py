@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from suite.control_queries import ASE, FORECAST, ZONES, zones
 from suite.registry import query
-from suite.seed_queries import RACE_SQL, SEED_HH, SEED_PP, H, P, seed_hh, seed_pp
+from suite.seed_queries import RACE_SQL, SEED_HH, SEED_PP, H, P, households, persons, seed_hh, seed_pp
 from suite.standins import ctes, standin
 from zonecraft import definitions as d
 from zonecraft.operators import controls as control_ops
@@ -41,8 +41,8 @@ def keyed(spark, sf):
 
 
 def incidence_rows(spark, sf, controls=None):
-    households, persons = keyed(spark, sf)
-    return ops.incidence(households, persons, controls or FITTING, keep=("PUMA", "WGTP"))
+    rows = ops.survey_incidence(households(spark, sf), persons(spark, sf), controls or FITTING, keep=("PUMA", "WGTP"))
+    return rows.withColumnRenamed("SERIALNO", "hhid")
 
 
 @query(
@@ -61,7 +61,7 @@ def _(spark, sf):
 
 @query("y01_incidence", f"{ctes(H, P)}, {INCIDENCE} select * from inc_rows")
 def _(spark, sf):
-    return incidence_rows(spark, sf)
+    return ops.incidence(*keyed(spark, sf), FITTING, keep=("PUMA", "WGTP"))
 
 
 SYN_PP = f"""syn_pp as (select p.*, h.mgra, {RACE_SQL} as race from person_src p

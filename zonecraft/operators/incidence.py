@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecraft.definitions import Control
+from zonecraft.operators import seed
 from zonecraft.operators.keys import fail_if, one_row_per
 
 
@@ -39,6 +40,32 @@ def incidence(
     return flags.join(counts, key, "left").na.fill(0, [c.target for c in members])
 
 
+def survey_incidence(
+    households: DataFrame, persons: DataFrame, controls: Sequence[Control], keep: Sequence[str] = ()
+) -> DataFrame:
+    """``incidence`` of the seeds that survey tables make, keyed by SERIALNO, without building the person seed.
+
+    Person controls are counted where the household seed rolls its persons up: persons are read and shuffled once, and only
+    one row per household is joined. A household listed several times counts its persons as often, as a join of the two
+    seeds does. Person controls may read the seed's columns except PUMA, which comes from the household.
+    """
+    own, members = of_table(controls, "households"), of_table(controls, "persons")
+    counts = {f"_count_{k}": c for k, c in enumerate(members)}
+    placed = seed.occupied(households)
+    # As many rows as the survey lists a household: the join on SERIALNO brings them to one task anyway.
+    placed = placed.withColumn("_copies", F.count("*").over(Window.partitionBy("SERIALNO")))
+    # Persons are shuffled as they are: a partial sum per household would be the wider row where households are scattered.
+    everyone = seed.classified(persons.where("SERIALNO is not null").repartition("SERIALNO"))
+    found = [F.count_if(c.matches()).alias(name) for name, c in counts.items()]
+    rows = seed.seed_households(placed, everyone, found, ["_copies", *counts])
+    return rows.select(
+        "SERIALNO",
+        *keep,
+        *[F.coalesce(c.matches().cast("int"), F.lit(0)).alias(c.target) for c in own],
+        *[(F.col(name) * F.col("_copies")).alias(c.target) for name, c in counts.items()],
+    )
+
+
 def count_by(population: DataFrame, area: Sequence[str], controls: Sequence[Control]) -> DataFrame:
     """Matching records per area, one column per control, in one pass over the population."""
     return population.groupBy(*area).agg(*[matched(c) for c in controls])

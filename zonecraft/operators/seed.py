@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecraft.functions import seed as fn
 from zonecraft.operators.running import number_rows
 
 
-def person_rollup(persons: DataFrame) -> DataFrame:
-    """Per household: workers, and the highest value of the codes that classify single-person group quarters."""
+def person_rollup(persons: DataFrame, counts: Sequence[Column] = ()) -> DataFrame:
+    """Per household: workers, and the highest value of the codes that classify single-person group quarters.
+
+    ``counts``: aggregates over a household's persons that are made in the same pass.
+    """
     return persons.groupBy("SERIALNO").agg(
         F.sum(fn.is_worker(F.col("ESR"))).alias("workers"),
         *[F.max(c).alias(c) for c in ("MIL", "SCHG", "PWGTP", "PINCP")],
+        *counts,
     )
 
 
@@ -23,15 +27,18 @@ def occupied(households: DataFrame) -> DataFrame:
     return households.where("NP > 0")
 
 
-def households_with_persons(households: DataFrame, persons: DataFrame) -> DataFrame:
+def households_with_persons(households: DataFrame, persons: DataFrame, counts: Sequence[Column] = ()) -> DataFrame:
     """Occupied households joined with their person roll-up; households without a person drop out."""
-    return occupied(households).join(person_rollup(persons), "SERIALNO")
+    return occupied(households).join(person_rollup(persons, counts), "SERIALNO")
 
 
-def seed_households(households: DataFrame, persons: DataFrame) -> DataFrame:
+def seed_households(
+    households: DataFrame, persons: DataFrame, counts: Sequence[Column] = (), keep: Sequence[str] = ()
+) -> DataFrame:
+    """``counts``: further aggregates of the person roll-up; ``keep`` names those and household columns to carry along."""
     typehugq = F.col("TYPEHUGQ")
     income = F.when(fn.is_group_quarters(typehugq), F.col("PINCP")).otherwise(F.col("HINCP"))
-    return households_with_persons(households, persons).select(
+    return households_with_persons(households, persons, counts).select(
         "SERIALNO",
         "PUMA",
         "NP",
@@ -45,6 +52,7 @@ def seed_households(households: DataFrame, persons: DataFrame) -> DataFrame:
         "TYPEHUGQ",
         fn.gq_type(typehugq, F.col("MIL"), F.col("SCHG")).alias("gq_type"),
         fn.seed_weight(typehugq, F.col("WGTP"), F.col("PWGTP")).alias("WGTP"),
+        *keep,
     )
 
 
@@ -54,33 +62,48 @@ def persons_in_occupied(persons: DataFrame, households: DataFrame, keep: tuple[s
     return persons.join(parents, "SERIALNO", "inner" if keep else "left_semi")
 
 
-def seed_persons(persons: DataFrame, households: DataFrame) -> DataFrame:
+def classified(persons: DataFrame) -> DataFrame:
+    """Persons with the columns that a seed person has beside the survey's own."""
     c = F.col
-    return persons_in_occupied(persons, households, keep=("PUMA",)).select(
+    return persons.withColumns(
+        {
+            "laborforce": fn.in_labor_force(c("ESR")),
+            "worker": fn.is_worker(c("ESR")),
+            "SCHG": F.coalesce(c("SCHG"), F.lit(0)),
+            "race": fn.race(c("HISP"), c("RAC1P")),
+            "NAICS2": fn.industry_sector(c("NAICSP")),
+            "SOC2": fn.occupation_group(c("SOCP")),
+            "gq_type": fn.gq_type(c("TYPEHUGQ"), c("MIL"), c("SCHG")),
+        }
+    )
+
+
+def seed_persons(persons: DataFrame, households: DataFrame) -> DataFrame:
+    return classified(persons_in_occupied(persons, households, keep=("PUMA",))).select(
         "SERIALNO",
         "SPORDER",
         "PUMA",
         "AGEP",
         "SEX",
         "ESR",
-        fn.in_labor_force(c("ESR")).alias("laborforce"),
-        fn.is_worker(c("ESR")).alias("worker"),
+        "laborforce",
+        "worker",
         "COW",
         "WKHP",
-        F.coalesce(c("SCHG"), F.lit(0)).alias("SCHG"),
+        "SCHG",
         "HISP",
         "RAC1P",
-        fn.race(c("HISP"), c("RAC1P")).alias("race"),
+        "race",
         "MIL",
         "SCHL",
         "OCCP",
         "WKW",
         "NAICSP",
-        fn.industry_sector(c("NAICSP")).alias("NAICS2"),
+        "NAICS2",
         "SOCP",
-        fn.occupation_group(c("SOCP")).alias("SOC2"),
+        "SOC2",
         "TYPEHUGQ",
-        fn.gq_type(c("TYPEHUGQ"), c("MIL"), c("SCHG")).alias("gq_type"),
+        "gq_type",
         "PINCP",
     )
 
