@@ -3,6 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+import suite.catalog  # noqa: F401
+from suite.control_queries import YEARS
+from suite.registry import QUERIES
 from suite.standins import standin
 from zonecraft import definitions as d
 from zonecraft.functions.report import BENCHMARK, FITTING
@@ -24,6 +27,23 @@ def result(spark):
     return synthesis.synthesize(seeds, controls, table("geo_cross_walk"), settings)
 
 
+def test_the_chain_query_makes_all_years_and_sweeps_until_settled(spark, monkeypatch):
+    class Enough(Exception):
+        pass
+
+    def seen(seeds, controls, crosswalk, settings=None):
+        assert {r.increment for r in controls.zones.select("increment").distinct().collect()} == set(YEARS)
+        assert {r.increment for r in controls.region.select("increment").distinct().collect()} == set(YEARS)
+        whole, used = synthesis.Settings(), settings or synthesis.Settings()
+        assert (used.sweeps, used.zone_sweeps, used.controls, used.margins) == (whole.sweeps, whole.zone_sweeps, None, None)
+        raise Enough
+
+    monkeypatch.setattr(synthesis, "build_seeds", lambda households, persons: None)
+    monkeypatch.setattr(synthesis, "synthesize", seen)
+    with pytest.raises(Enough):
+        QUERIES["y16_synthesis_chain"](spark, SF)
+
+
 def test_open_zones_stop_the_job_unless_accepted(spark, result):
     ended = {r.stage: r for r in result.convergence.collect()}
     assert set(ended) == {"seed", "seed with regional targets", "zones"} and ended["seed"].open > 0
