@@ -9,7 +9,7 @@ from suite.registry import QUERIES
 from suite.standins import standin
 from zonecraft import definitions as d
 from zonecraft.functions.report import BENCHMARK, FITTING
-from zonecraft.operators import quality
+from zonecraft.operators import fitting, quality, subzones
 from zonecraft.plans import publication, synthesis, validation
 from zonecraft.session import new_stage_path
 from zonecraft.sources import publish, runs
@@ -93,6 +93,33 @@ def test_every_household_brings_all_its_persons(result):
     assert quality.orphans(result.persons, result.households, "household_id").count() == 0
 
 
+def test_zones_are_rounded_beside_their_cells_as_by_rows_of_zone_and_cell(spark, result, monkeypatch):
+    settings = synthesis.Settings(sweeps=1, zone_sweeps=20, accept_open=True, margins=("workers", "size", "sex", "total"))
+    crosswalk = standin(spark, SF, "geo_cross_walk")
+    _, cells, state = synthesis.zone_cells(result.seed_weights, result.controls.zones, crosswalk, settings)
+    made, stage = [], synthesis.stage
+    monkeypatch.setattr(synthesis, "stage", lambda df, name: made.append(name) or stage(df, name))
+    monkeypatch.setattr(subzones, "TOGETHER", 5)
+    found = {}
+    for near in (fitting.NEAR, 0):
+        monkeypatch.setattr(fitting, "NEAR", near)
+        slots, sums, lost = synthesis.rounded_cells(cells, state, settings)
+        found[near] = (
+            {(r.increment, r.mgra, r.pool, r.cell): r.n for r in slots.collect()},
+            {(r.increment, r.pool, r.cell): r.w for r in sums.collect()},
+            {(r.increment, r.mgra) for r in lost.collect()},
+        )
+        # Only the other way writes a row per zone and cell.
+        assert ("cell-weights" in made) == (near == 0)
+    (slots, sums, lost), (other_slots, other_sums, other_lost) = found.values()
+    assert slots == other_slots and lost == other_lost and sums == pytest.approx(other_sums)
+    homes = {(r.increment, r.mgra): r.homes for r in state.where("homes > 0").collect()}
+    made = dict.fromkeys(homes, 0)
+    for (increment, mgra, _, _), n in slots.items():
+        made[increment, mgra] += n
+    assert made == homes and lost
+
+
 def test_report_covers_all_kinds_of_controls(spark, result):
     of_year = lambda df: df.where("increment = 2022").drop("increment")
     report = validation.control_report(
