@@ -58,3 +58,42 @@ def test_empty_run_is_reported(spark):
     df = spark.createDataFrame([(0,), (1,), (1,), (None,)], "gq_type int")
     got = {r.synthesis_run: (r.n, r.is_empty) for r in ops.empty_runs(ops.split_runs(df)).collect()}
     assert got == {"household": (1, False), "gq_mil": (2, False), "gq_col": (0, True), "gq_oth": (0, True)}
+
+
+def test_seed_persons_of_the_chain_are_those_of_the_single_steps(spark):
+    """Households and persons that come twice, persons of another type than their household, NULL keys."""
+    from suite.standins import standin
+    from zonecraft.operators import seed
+    from zonecraft.plans import synthesis
+
+    households, persons = (standin(spark, "/root/testdata/sf0.001", n) for n in ("household_src", "person_src"))
+    households = households.unionByName(households.where("household_id % 5 = 0"))
+    persons = persons.unionByName(persons.where("household_id % 7 = 0"))
+    other = F.expr("cast(if(household_id % 11 = 0 and SPORDER = 1, 3, TYPEHUGQ) as int)")
+    persons = persons.withColumns({"TYPEHUGQ": other, "SERIALNO": F.expr("if(household_id % 13 = 0, null, SERIALNO)")})
+    old, members = seed.assign_hhid(seed.seed_households(households, persons), seed.seed_persons(persons, households))
+    old = seed.split_runs(old)
+    members = members.join(old.select("is_gq", "hhid", "synthesis_run"), ["is_gq", "hhid"])
+    found = synthesis.build_seeds(households, persons)
+    for was, now in ((old, found.households), (members, found.persons)):
+        assert set(was.columns) == set(now.columns) and was.count() > 1000
+        assert was.exceptAll(now.select(was.columns)).count() == now.select(was.columns).exceptAll(was).count() == 0
+    files = [f.rsplit("_", 1)[1].split(".")[0] for f in found.persons.inputFiles()]
+    assert len(files) == len(set(files)) == 4  # one file a bucket
+
+
+def test_scratch_tables_go_but_those_kept(spark):
+    from pathlib import Path
+
+    from zonecraft.session import CLEANUP, scratch, stage
+
+    there = lambda table: Path(table.stage_path.removeprefix("file:")).exists()
+    before = spark.conf.get(CLEANUP, None)
+    with scratch() as keep:
+        first = stage(spark.range(3))
+        with scratch() as keep_inner:
+            inner, second = stage(spark.range(4)), keep_inner(stage(spark.range(5)))
+        assert not there(inner) and there(second)
+        kept = keep(stage(first.join(second, "id")))
+    assert there(kept) and kept.count() == 3 and not there(first) and not there(second)
+    assert spark.conf.get(CLEANUP, None) == before
